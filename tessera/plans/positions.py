@@ -96,3 +96,19 @@ def contiguous_positions(df: DataFrame, order_cols: list[str], bucket_expr,
 
 def md5_bucket(h: str):
     return _prefix_bucket(F.col(h), 0)
+
+
+def range_bucket(df: DataFrame, key: str, buckets: int = 1024):
+    """Monotone bucket of a numeric key: the number of approximate quantile
+    boundaries <= key (boundaries from one ``percentile_approx`` aggregate,
+    at most ``buckets`` values), so buckets hold similar row counts."""
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = df.agg(F.percentile_approx(F.col(key).cast("double"), qs, 10 * buckets)).collect()[0][0]
+    bounds = sorted(set(bounds or []))
+    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    return F.size(F.filter(arr, lambda b: b <= F.col(key).cast("double")))
+
+
+def positions_by_key(df: DataFrame, key: str, pos_col: str = "pos") -> DataFrame:
+    """0-based contiguous position in ``key`` order (key numeric, unique)."""
+    return contiguous_positions(df, [key], range_bucket(df, key), pos_col)
