@@ -62,12 +62,18 @@ def derivative(a: Column, z: Column, name: str) -> Column:
     raise ValueError("softmax has no element-wise derivative: use softmax_jvp")
 
 
+def _per_element(x: Column, value: Column) -> Column:
+    """``value`` repeated once per element of ``x``. Row-level reductions are
+    passed into ``zip_with`` this way instead of being referenced inside a
+    lambda, where they would be re-evaluated for every element."""
+    return F.array_repeat(value, F.size(x))
+
+
 def softmax_array(x: Column) -> Column:
-    """Max-shifted softmax of one vector."""
-    mx = F.array_max(x)
-    e = F.transform(x, lambda v: F.exp(v - mx))
+    """Max-shifted softmax of one vector (linear in the vector length)."""
+    e = F.zip_with(x, _per_element(x, F.array_max(x)), lambda v, m: F.exp(v - m))
     s = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / s)
+    return F.zip_with(e, _per_element(x, s), lambda v, t: v / t)
 
 
 def activate_array(x: Column, name: str) -> Column:
@@ -87,7 +93,8 @@ def derivative_array(a: Column, z: Column, name: str) -> Column:
 def softmax_jvp(a: Column, g: Column) -> Column:
     """Jacobian-vector product of softmax: a * (g - sum(a * g))."""
     dot = F.aggregate(F.zip_with(a, g, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
-    return F.zip_with(a, g, lambda x, y: x * (y - dot))
+    ag = F.arrays_zip(a.alias("a"), g.alias("g"))
+    return F.zip_with(ag, _per_element(a, dot), lambda p, d: p["a"] * (p["g"] - d))
 
 
 def segmented(x: Column, segments: int, width: int, fn) -> Column:
