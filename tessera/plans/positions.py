@@ -13,7 +13,7 @@ are only computed inside one bucket at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HEX_DIGITS = 4          # 65,536 buckets per refinement level
@@ -64,34 +64,46 @@ def before_key(h: str, key: str, cut) -> "F.Column":
     return (F.col(h) < F.lit(ch)) | ((F.col(h) == F.lit(ch)) & (F.col(key) < F.lit(ck)))
 
 
-def bucket_offsets(spark: SparkSession, df: DataFrame, bucket: str) -> DataFrame:
-    """(bucket, offset): number of rows in all smaller buckets.
+TARGET_BUCKET_ROWS = 2_000_000   # rows ranked by one task at most (beyond one fine bucket)
 
-    ``df`` must already carry the integer ``bucket`` column; the bucket count
-    is bounded (65,536 for md5 prefixes), so the cumulative sum runs on that
-    small table only.
-    """
-    counts = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(bucket, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long").alias("_offset"))
+
+def coarse_mapping(b: DataFrame, parallelism: int) -> DataFrame:
+    """``(_fine, _bucket, _offset)``: consecutive fine buckets merged into
+    coarse ones of about ``min(TARGET_BUCKET_ROWS, total / (2 * parallelism))``
+    rows, with the number of rows before each coarse bucket. Computed on the
+    fine-bucket count table (at most 65,536 rows), so its un-partitioned
+    windows are bounded and nothing goes through the driver."""
+    counts = b.groupBy("_fine").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(F.lit(1))
+    cum = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    target = F.greatest(F.lit(1), F.least(F.lit(TARGET_BUCKET_ROWS),
+                                          F.ceil(F.sum("_n").over(whole) / F.lit(2 * max(1, parallelism)))))
+    m = counts.select("_fine", cum.alias("_cum"), target.alias("_target"))
+    m = m.withColumn("_bucket", F.floor(F.col("_cum") / F.col("_target")).cast("long"))
+    return m.select("_fine", "_bucket",
+                    F.min("_cum").over(Window.partitionBy("_bucket")).cast("long").alias("_offset"))
 
 
 def contiguous_positions(df: DataFrame, order_cols: list[str], bucket_expr,
                          pos_col: str = "pos") -> DataFrame:
     """0-based contiguous position in ``order_cols`` order.
 
-    ``bucket_expr`` must be monotone in the order (a prefix of it), so that
-    ``position = offset(bucket) + rank inside bucket``. The rank is a window
-    partitioned by bucket: each bucket is sorted by its own task.
+    ``bucket_expr`` must be monotone in the order with a bounded number of
+    values (a 4-hex-digit md5 prefix, or a quantile bucket). Its count table
+    (map-side combined, at most 65,536 rows) is merged into coarse buckets
+    sized for the data and the cluster; each coarse bucket is ranked by its own
+    task (a window partitioned by bucket), and
+    ``position = offset(bucket) + rank inside bucket``.
     """
     spark = df.sparkSession
-    b = df.withColumn("_bucket", bucket_expr)
-    offs = bucket_offsets(spark, b, "_bucket")
+    b = df.withColumn("_fine", bucket_expr)
+    mapping = coarse_mapping(b, spark.sparkContext.defaultParallelism)
     w = Window.partitionBy("_bucket").orderBy(*order_cols)
-    # the offsets table has at most 65,536 rows: broadcasting it is bounded
-    return (b.join(F.broadcast(offs), "_bucket")
+    # the mapping has one row per fine bucket (<= 65,536): broadcasting it is bounded
+    return (b.join(F.broadcast(mapping), "_fine")
             .withColumn(pos_col, (F.col("_offset") + F.row_number().over(w) - 1).cast("long"))
-            .drop("_bucket", "_offset"))
+            .drop("_fine", "_bucket", "_offset"))
 
 
 def md5_bucket(h: str):

@@ -46,8 +46,9 @@ def _bucket_expr(c, lo: float, hi: float):
     # halves avoid overflow of hi - lo for extreme ranges
     width = (hi / 2.0) - (lo / 2.0)
     scaled = ((c / 2.0) - F.lit(lo / 2.0)) / F.lit(width) * F.lit(float(BUCKETS))
-    b = F.floor(scaled).try_cast("int")
-    return F.least(F.lit(BUCKETS - 1), F.greatest(F.lit(0), F.coalesce(b, F.lit(BUCKETS - 1))))
+    # callers only pass values inside [lo, hi] with lo < hi, so scaled is finite
+    b = F.floor(scaled).cast("int")
+    return F.least(F.lit(BUCKETS - 1), F.greatest(F.lit(0), b))
 
 
 def kth_values(df: DataFrame, wanted: list[tuple[str, int]],
@@ -85,54 +86,68 @@ def kth_values(df: DataFrame, wanted: list[tuple[str, int]],
     return [s.value for s in states]
 
 
-def _long_form(df: DataFrame, states: list[_State], with_bucket: bool) -> DataFrame:
-    items = []
+def _probes(states: list[_State]) -> dict[tuple, list[_State]]:
+    """States that look at the same column interval share one probe (the two
+    middle ranks of a median usually do)."""
+    out: dict[tuple, list[_State]] = {}
     for s in states:
-        c = F.col(s.col).cast("double")
-        fields = [F.lit(s.sid).alias("sid"), c.alias("v")]
+        out.setdefault((s.col, s.lo, s.hi), []).append(s)
+    return out
+
+
+def _long_form(df: DataFrame, probes: dict[tuple, list[_State]], with_bucket: bool) -> DataFrame:
+    items = []
+    for pid, (col, lo, hi) in enumerate(probes):
+        c = F.col(col).cast("double")
+        fields = [F.lit(pid).alias("pid"), c.alias("v")]
         if with_bucket:
-            fields.append(_bucket_expr(c, s.lo, s.hi).alias("b"))
-        items.append(F.when(c.between(s.lo, s.hi), F.struct(*fields)))
-    arr = F.filter(F.array(*items), lambda x: x.isNotNull())
-    return df.select(F.explode(arr).alias("s")).select("s.*")
+            fields.append(_bucket_expr(c, lo, hi).alias("b"))
+        items.append(F.when(c.between(lo, hi), F.struct(*fields)))
+    # inline + NULL filter (a generator, no higher-order function in the hot loop)
+    return df.select(F.inline(F.array(*items))).where(F.col("pid").isNotNull())
 
 
 def _refine(df: DataFrame, states: list[_State]) -> None:
-    hist = (_long_form(df, states, True)
-            .groupBy("sid", "b")
+    probes = _probes(states)
+    hist = (_long_form(df, probes, True)
+            .groupBy("pid", "b")
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
             .collect())
-    by_sid: dict[int, list] = {}
+    by_pid: dict[int, list] = {}
     for r in hist:
-        by_sid.setdefault(r["sid"], []).append(r)
-    for s in states:
-        rows = sorted(by_sid.get(s.sid, []), key=lambda r: r["b"])
-        cum = s.below
-        for r in rows:
-            if cum + r["n"] > s.k:
-                s.below, s.lo, s.hi, s.n_in = cum, float(r["mn"]), float(r["mx"]), int(r["n"])
-                if s.lo == s.hi:
-                    s.value = s.lo
-                break
-            cum += r["n"]
-        else:  # pragma: no cover - counts always cover k
-            raise RuntimeError("histogram does not cover the wanted rank")
+        by_pid.setdefault(r["pid"], []).append(r)
+    for pid, group in enumerate(probes.values()):
+        rows = sorted(by_pid.get(pid, []), key=lambda r: r["b"])
+        for s in group:
+            cum = s.below
+            for r in rows:
+                if cum + r["n"] > s.k:
+                    s.below, s.lo, s.hi, s.n_in = cum, float(r["mn"]), float(r["mx"]), int(r["n"])
+                    if s.lo == s.hi:
+                        s.value = s.lo
+                    break
+                cum += r["n"]
+            else:  # pragma: no cover - counts always cover k
+                raise RuntimeError("histogram does not cover the wanted rank")
 
 
 def _finish_small(df: DataFrame, states: list[_State]) -> None:
-    rows = (_long_form(df, states, False)
-            .groupBy("sid", "v").agg(F.count(F.lit(1)).alias("n"))
+    probes = _probes(states)
+    rows = (_long_form(df, probes, False)
+            .groupBy("pid", "v").agg(F.count(F.lit(1)).alias("n"))
             .collect())
-    by_sid: dict[int, list] = {}
+    by_pid: dict[int, list] = {}
     for r in rows:
-        by_sid.setdefault(r["sid"], []).append((r["v"], r["n"]))
-    for s in states:
-        cum = s.below
-        for v, n in sorted(by_sid.get(s.sid, [])):
-            if cum + n > s.k:
-                s.value = float(v)
-                break
-            cum += n
+        by_pid.setdefault(r["pid"], []).append((r["v"], r["n"]))
+    for pid, group in enumerate(probes.values()):
+        values = sorted(by_pid.get(pid, []))
+        for s in group:
+            cum = s.below
+            for v, n in values:
+                if cum + n > s.k:
+                    s.value = float(v)
+                    break
+                cum += n
 
 
 def exact_medians(df: DataFrame, cols: list[str],
