@@ -31,17 +31,26 @@ class CsvTable:
     header: bool
 
 
-def _with_file_order_id(raw: DataFrame) -> DataFrame:
-    """Add ``row_id``: 0-based line position over files sorted by path."""
+def _with_file_order_id(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Add ``row_id``: 0-based line position over files sorted by path.
+
+    One grouped count per input split (``_metadata``), collected - it is
+    bounded by the number of splits - and turned into offsets on the driver;
+    the offsets go back as a broadcast table, so later actions do not
+    recompute the count.
+    """
     d = raw.select("*", F.col("_metadata.file_path").alias("_f"),
                    F.col("_metadata.file_block_start").alias("_b"),
                    F.monotonically_increasing_id().alias("_m"))
-    # one row per input split: bounded by the number of splits
-    splits = d.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.select("_f", "_b", "_m0",
-                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (d.join(F.broadcast(offs), ["_f", "_b"])
+    splits = sorted((r["_f"], r["_b"], r["_m0"], r["_n"]) for r in
+                    d.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"),
+                                              F.count(F.lit(1)).alias("_n")).collect())
+    offs, total = [], 0
+    for f, blk, m0, n in splits:
+        offs.append((f, blk, m0, total))
+        total += n
+    odf = spark.createDataFrame(offs, "_f string, _b long, _m0 long, _off long")
+    return (d.join(F.broadcast(odf), ["_f", "_b"])
             .withColumn("row_id", (F.col("_off") + F.col("_m") - F.col("_m0")).cast("long"))
             .drop("_m", "_m0", "_off", "_b"))
 
@@ -52,41 +61,43 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool | None
     raw = (spark.read.option("sep", sep).option("header", False)
            .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
     cols = raw.columns
-    d = _with_file_order_id(raw)
-    # first line of each file = its smallest row id (one row per file)
-    first_rows = (d.groupBy("_f")
-                  .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), "row_id").alias("r"),
-                       F.min("row_id").alias("first_id"))
-                  .select("_f", "first_id", "r.*").collect())
+    d = _with_file_order_id(spark, raw)
+    # one aggregate per file (bounded by the file count): its first line and,
+    # for every column, the number of present and of numeric values
+    aggs = [F.min_by(F.struct(*[F.col(c) for c in cols]), "row_id").alias("_first"),
+            F.min("row_id").alias("_first_id")]
+    for i, c in enumerate(cols):
+        present = ~(F.col(c).isNull() | is_missing_token(F.col(c)))
+        aggs += [F.sum(present.cast("long")).alias(f"_p{i}"),
+                 F.sum((present & F.col(c).try_cast("double").isNotNull()).cast("long")).alias(f"_q{i}")]
+    per_file = d.groupBy("_f").agg(*aggs).collect()
+    firsts = sorted(per_file, key=lambda r: r["_first_id"])
     if header is None:
-        header = bool(first_rows) and all(
-            not any(_is_num_or_missing_py(r[c]) for c in cols) for r in first_rows)
+        header = bool(firsts) and all(
+            not any(_is_num_or_missing_py(r["_first"][c]) for c in cols) for r in firsts)
+    present = [sum(r[f"_p{i}"] or 0 for r in per_file) for i in range(len(cols))]
+    numeric_n = [sum(r[f"_q{i}"] or 0 for r in per_file) for i in range(len(cols))]
     if header:
-        hdr = min(first_rows, key=lambda r: r["first_id"])
-        names = names or [str(hdr[c]).strip() for c in cols]
+        names = names or [str(firsts[0]["_first"][c]).strip() for c in cols]
+        # take the header lines out of the per-column counts
+        for r in firsts:
+            for i, c in enumerate(cols):
+                v = r["_first"][c]
+                if v is not None and v not in _MISSING:
+                    present[i] -= 1
+                    numeric_n[i] -= _is_num_or_missing_py(v)
         # every file starts with its header: drop it and shift the ids of a
         # file by the number of header lines up to and including its own
-        files = sorted((r["first_id"], r["_f"]) for r in first_rows)
-        shift = spark.createDataFrame([(f, i + 1, fid) for i, (fid, f) in enumerate(files)],
+        shift = spark.createDataFrame([(r["_f"], i + 1, r["_first_id"]) for i, r in enumerate(firsts)],
                                       "_f string, _shift long, _hid long")
         d = (d.join(F.broadcast(shift), "_f")
              .where(F.col("row_id") != F.col("_hid"))
              .withColumn("row_id", F.col("row_id") - F.col("_shift")))
     names = names or [f"c{i}" for i in range(len(cols))]
-    d = d.select("row_id", *[F.col(c).alias(n) for c, n in zip(cols, names)])
-
-    # type inference: one aggregate over all columns
-    aggs = []
-    for i, n in enumerate(names):
-        c = F.col(n)
-        present = ~(c.isNull() | is_missing_token(c))
-        aggs += [F.sum(present.cast("long")).alias(f"p{i}"),
-                 F.sum((present & c.try_cast("double").isNotNull()).cast("long")).alias(f"q{i}")]
-    r = d.agg(*aggs).collect()[0]
-    numeric = [n for i, n in enumerate(names) if (r[f"p{i}"] or 0) == (r[f"q{i}"] or 0)]
+    numeric = [n for i, n in enumerate(names) if present[i] == numeric_n[i]]
     strings = [n for n in names if n not in numeric]
-    out = d.select("row_id", *[(parse_double(F.col(n)) if n in numeric else normalise_string(F.col(n))).alias(n)
-                               for n in names])
+    out = d.select("row_id", *[(parse_double(F.col(c)) if n in numeric else normalise_string(F.col(c))).alias(n)
+                               for c, n in zip(cols, names)])
     return CsvTable(out, numeric, strings, bool(header))
 
 
