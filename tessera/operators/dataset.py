@@ -11,8 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.encode import (Dictionary, category_key, fit_dictionary, label_encode,
-                                      numeric_key, one_hot)
+from tessera.operators.encode import (Dictionary, category_key, fit_dictionaries, fit_dictionary,
+                                      label_encode, numeric_key, one_hot)
 
 
 @dataclass
@@ -50,9 +50,14 @@ def to_dataset(df: DataFrame, target: str | int, numeric: list[str], strings: li
     x_num = [c for c in cols if c in numeric and c != target]
     x_str = [c for c in cols if c in strings and c != target]
     cur = df
-    dicts: dict[str, Dictionary] = {}
+    tkey = None
+    if task == "classification":
+        tkey = numeric_key(F.col(target)) if target in numeric else category_key(F.col(target))
+    wanted = {c: category_key(F.col(c)) for c in x_str}
+    if tkey is not None:
+        wanted["_target"] = tkey
+    dicts: dict[str, Dictionary] = fit_dictionaries(df, wanted, key) if wanted else {}
     for c in x_str:
-        dicts[c] = fit_dictionary(df, category_key(F.col(c)), key)
         cur = label_encode(cur, category_key(F.col(c)), dicts[c], f"_code_{c}")
     x = F.array(*[F.col(c).cast("double") for c in x_num],
                 *[F.col(f"_code_{c}").cast("double") for c in x_str])
@@ -62,8 +67,7 @@ def to_dataset(df: DataFrame, target: str | int, numeric: list[str], strings: li
             raise ValueError("regression needs a numeric target")
         y = F.array(F.col(target).cast("double"))
     else:
-        tkey = numeric_key(F.col(target)) if target in numeric else category_key(F.col(target))
-        dicts[target] = fit_dictionary(df, tkey, key)
+        dicts[target] = dicts.pop("_target")
         cur = label_encode(cur, tkey, dicts[target], "_code_target")
         classes = dicts[target].size
         y = one_hot(F.col("_code_target"), classes)

@@ -44,17 +44,40 @@ def numeric_key(c: Column) -> Column:
     return F.coalesce(c.cast("double").cast("string"), F.lit("nan"))
 
 
-def fit_dictionary(df: DataFrame, value: Column, key: str = "row_id") -> Dictionary:
+def fit_dictionaries(df: DataFrame, values: dict[str, Column], key: str = "row_id") -> dict[str, Dictionary]:
+    """First-appearance dictionaries of several columns in one pass.
+
+    ``groupBy(column, value).agg(min(key))`` over the stacked columns (partial
+    aggregation: a value that holds a third of the rows is pre-combined in every
+    map task), checkpointed once in the shared folder; the per-column sizes
+    are one bounded collect. Codes are the rank of ``min(key)`` inside each
+    column: a window partitioned by column when every dictionary is under
+    ``DICT_WINDOW_MAX`` entries, bucket offsets otherwise.
+    """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    firsts = df.groupBy(value.alias("value")).agg(F.min(key).alias("first"))
-    firsts = firsts.checkpoint(eager=True)
-    n = firsts.count()
-    if n <= DICT_WINDOW_MAX:
-        d = firsts.select("value", (F.row_number().over(Window.orderBy("first")) - 1).cast("int").alias("code"))
-    else:
-        d = positions_by_key(firsts, "first", "code").select("value", F.col("code").cast("int"))
-    return Dictionary(d.checkpoint(eager=True), n)
+    names = list(values)
+    items = [F.struct(F.lit(n).alias("column"), values[n].alias("value"), F.col(key).alias("_k"))
+             for n in names]
+    long = df.select(F.inline(F.array(*items)))
+    firsts = (long.groupBy("column", "value").agg(F.min("_k").alias("first"))
+              .checkpoint(eager=True))
+    sizes = {r["column"]: r["n"] for r in firsts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for n in names:
+        size = int(sizes.get(n, 0))
+        one = firsts.where(F.col("column") == n).select("value", "first")
+        if size <= DICT_WINDOW_MAX:
+            # bounded: one dictionary of at most DICT_WINDOW_MAX entries per task
+            d = one.select("value", (F.row_number().over(Window.orderBy("first")) - 1).cast("int").alias("code"))
+        else:
+            d = positions_by_key(one, "first", "code").select("value", F.col("code").cast("int"))
+        out[n] = Dictionary(d, size)
+    return out
+
+
+def fit_dictionary(df: DataFrame, value: Column, key: str = "row_id") -> Dictionary:
+    return fit_dictionaries(df, {"_": value}, key)["_"]
 
 
 def label_encode(df: DataFrame, value: Column, dic: Dictionary, out: str = "code") -> DataFrame:
