@@ -20,6 +20,9 @@ from tessera.operators.model import (Sequential, backward, check_loss_pair, forw
 
 # special slots of the gradient vector job
 N_SLOT, LOSS_SLOT, METRIC_SLOT = -1, -2, -3
+# per-task gradients are collected without a shuffle only when
+# tasks x parameters stays under this many values (32 MB of doubles)
+DIRECT_COLLECT_VALUES = 4_000_000
 
 
 def list_to_np(col) -> np.ndarray:
@@ -98,21 +101,28 @@ def gradient_sums(df: DataFrame, model: Sequential, loss: str, metric: str | Non
         g = np.concatenate([acc, [n, lsum, msum]])
         yield pa.RecordBatch.from_arrays([pa.array(idx), pa.array(g)], names=["idx", "g"])
 
-    return src.mapInArrow(run, "idx long, g double").groupBy("idx").agg(F.sum("g").alias("g"))
+    per_task = src.mapInArrow(run, "idx long, g double")
+    tasks = src.rdd.getNumPartitions()
+    if tasks * (len(model.flat()) + 3) <= DIRECT_COLLECT_VALUES:
+        return per_task          # summed on the driver: bounded by tasks x parameters
+    return per_task.groupBy("idx").agg(F.sum("g").alias("g"))
 
 
 def collect_gradient(sums: DataFrame, n_params: int) -> tuple[np.ndarray, float, float, float]:
-    """Driver copy of the summed gradient (model-sized) and the counters."""
+    """Driver copy of the summed gradient (model-sized) and the counters;
+    rows of the same ``idx`` (per-task partial sums) are added up."""
+    rows = sums.toArrow() if hasattr(sums, "toArrow") else None
+    if rows is not None:
+        idx = rows.column("idx").to_numpy()
+        val = rows.column("g").to_numpy()
+    else:  # pragma: no cover
+        got = sums.collect()
+        idx = np.array([r["idx"] for r in got], dtype=np.int64)
+        val = np.array([r["g"] for r in got], dtype=float)
     g = np.zeros(n_params)
-    n = lsum = msum = 0.0
-    for r in sums.collect():
-        i = r["idx"]
-        if i >= 0:
-            g[i] = r["g"]
-        elif i == N_SLOT:
-            n = r["g"]
-        elif i == LOSS_SLOT:
-            lsum = r["g"]
-        else:
-            msum = r["g"]
+    pos = idx >= 0
+    np.add.at(g, idx[pos], val[pos])
+    n = float(val[idx == N_SLOT].sum())
+    lsum = float(val[idx == LOSS_SLOT].sum())
+    msum = float(val[idx == METRIC_SLOT].sum())
     return g, n, lsum, msum

@@ -26,10 +26,12 @@ def with_order_hash(df: DataFrame, key: str, seed: int, h: str = "_h") -> DataFr
     return df.withColumn(h, order_hash(seed, key))
 
 
-def shuffle_positions(df: DataFrame, key: str, seed: int, pos: str = "pos") -> DataFrame:
-    """Append the 0-based position of each row in the seeded permutation."""
+def shuffle_positions(df: DataFrame, key: str, seed: int, pos: str = "pos",
+                      ordered_output: bool = False) -> DataFrame:
+    """Append the 0-based position of each row in the seeded permutation
+    (``ordered_output``: rows also come out in permutation order)."""
     h = with_order_hash(df, key, seed)
-    return contiguous_positions(h, ["_h", key], md5_bucket("_h"), pos).drop("_h")
+    return contiguous_positions(h, ["_h", key], md5_bucket("_h"), pos, ordered_output).drop("_h")
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float, seed: int,
@@ -66,10 +68,10 @@ def split_labels(df: DataFrame, key: str, test_size: float, seed: int,
 
 
 def with_batches(df: DataFrame, key: str, seed: int, batch_size: int,
-                 batch: str = "batch") -> DataFrame:
+                 batch: str = "batch", ordered_output: bool = False) -> DataFrame:
     """Batch number ``floor(pos / batch_size)`` of every row in the seeded
     permutation (mini-batch ``b`` = rows ``order[b*size : (b+1)*size)``)."""
-    p = shuffle_positions(df, key, seed, "_pos")
+    p = shuffle_positions(df, key, seed, "_pos", ordered_output)
     return p.withColumn(batch, F.floor(F.col("_pos") / F.lit(batch_size)).cast("long")).drop("_pos")
 
 

@@ -142,8 +142,9 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
             batches = [train_df]
         else:
             bpath = scratch_path(spark, f"batches-e{epoch}")
-            (with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size)
-             .repartitionByRange("batch").sortWithinPartitions("batch")
+            # rows come out in permutation order: every file and row group
+            # covers a disjoint range of batches, so a step prunes the rest
+            (with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size, ordered_output=True)
              .write.mode("overwrite").parquet(bpath))
             bt = spark.read.parquet(bpath)
             batches = [bt.where(F.col("batch") == b) for b in range(n_batches)]

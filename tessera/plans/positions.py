@@ -86,7 +86,7 @@ def coarse_mapping(b: DataFrame, parallelism: int) -> DataFrame:
 
 
 def contiguous_positions(df: DataFrame, order_cols: list[str], bucket_expr,
-                         pos_col: str = "pos") -> DataFrame:
+                         pos_col: str = "pos", ordered_output: bool = False) -> DataFrame:
     """0-based contiguous position in ``order_cols`` order.
 
     ``bucket_expr`` must be monotone in the order with a bounded number of
@@ -95,14 +95,21 @@ def contiguous_positions(df: DataFrame, order_cols: list[str], bucket_expr,
     sized for the data and the cluster; each coarse bucket is ranked by its own
     task (a window partitioned by bucket), and
     ``position = offset(bucket) + rank inside bucket``.
+
+    With ``ordered_output`` the rows are range-partitioned on the bucket
+    (which also clusters them for the window, so there is still one exchange)
+    and come out in position order across and within partitions - ready for
+    a write whose files and row groups cover disjoint position ranges.
     """
     spark = df.sparkSession
     b = df.withColumn("_fine", bucket_expr)
     mapping = coarse_mapping(b, spark.sparkContext.defaultParallelism)
-    w = Window.partitionBy("_bucket").orderBy(*order_cols)
     # the mapping has one row per fine bucket (<= 65,536): broadcasting it is bounded
-    return (b.join(F.broadcast(mapping), "_fine")
-            .withColumn(pos_col, (F.col("_offset") + F.row_number().over(w) - 1).cast("long"))
+    j = b.join(F.broadcast(mapping), "_fine")
+    if ordered_output:
+        j = j.repartitionByRange("_bucket")
+    w = Window.partitionBy("_bucket").orderBy(*order_cols)
+    return (j.withColumn(pos_col, (F.col("_offset") + F.row_number().over(w) - 1).cast("long"))
             .drop("_fine", "_bucket", "_offset"))
 
 
