@@ -21,8 +21,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Right-hand matrices up to this many cells are inlined/broadcast.
+# Right-hand matrices up to this many cells are broadcast.
 SMALL_CELLS = 1_000_000
+# Up to this many cells the product stays a JVM expression; above it the
+# per-element lambdas (interpreted) cost more than a numpy kernel per batch.
+EXPR_CELLS = 4096
 
 
 # ---------------------------------------------------------------- row form
@@ -67,10 +70,35 @@ def matvec_expr(x: Column, w: np.ndarray) -> Column:
 
 
 def rows_matmul_small(a: DataFrame, w: np.ndarray, width_a: int, x: str = "x") -> DataFrame:
-    """Tall row-form A (n x k) times small W (k x m): narrow, shuffle-free."""
+    """Tall row-form A (n x k) times small W (k x m): narrow, shuffle-free.
+
+    Small W: one JVM expression per output column. Larger W (up to
+    ``SMALL_CELLS``, a checked broadcast): ``mapInArrow`` with ``x @ W`` per
+    Arrow batch."""
     if width_a != w.shape[0]:
         raise ValueError(f"shape mismatch: A has {width_a} columns, W has {w.shape[0]} rows")
-    return a.withColumn(x, matvec_expr(F.col(x), w))
+    if w.size <= EXPR_CELLS:
+        return a.withColumn(x, matvec_expr(F.col(x), w))
+    if w.size > SMALL_CELLS:
+        raise ValueError("right-hand matrix too large to broadcast; use cells_matmul")
+    import pyarrow as pa
+    from tessera.operators.score import list_to_np, np_to_list
+    bc = a.sparkSession.sparkContext.broadcast(np.asarray(w, dtype=float))
+    names = a.columns
+    schema = a.select(*[c for c in names if c != x]).schema
+    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    out_schema = (out_schema + ", " if out_schema else "") + f"`{x}` array<double>"
+
+    def run(batches):
+        wm = bc.value
+        for b in batches:
+            xs = list_to_np(b.column(x))
+            ys = xs @ wm if len(xs) else np.zeros((0, wm.shape[1]))
+            cols = [b.column(f.name) for f in schema.fields] + [np_to_list(ys)]
+            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields] + [x])
+
+    src = a.select(*[c for c in names if c != x], F.col(x).cast("array<double>").alias(x))
+    return src.mapInArrow(run, out_schema)
 
 
 def gram_cells(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str = "y") -> DataFrame:

@@ -142,3 +142,11 @@ def test_dropout_mask_counts():
     assert (m == 0).sum() == 2 and np.allclose(m[m > 0], 1 / 0.75)
     assert layer_masks(model, seed=3, step=1)[0].tolist() == m.tolist()
     assert layer_masks(model, seed=3, step=2)[1] is None
+
+
+def test_large_product_uses_numpy_kernel(spark):
+    rng = np.random.default_rng(11)
+    x, w = rng.normal(size=(40, 80)), rng.normal(size=(80, 70))     # 5,600 cells > EXPR_CELLS
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(40)], "i long, x array<double>")
+    got = {r["i"]: r["x"] for r in la.rows_matmul_small(df, w, 80).collect()}
+    assert np.allclose(np.array([got[i] for i in range(40)]), x @ w)
