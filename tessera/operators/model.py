@@ -276,6 +276,19 @@ def avgpool_backward(x, k, s, p, dy):
     return dxp[:, :, p[0]:p[0] + h, p[1]:p[1] + w]
 
 
+def rot_kernels(w: np.ndarray) -> np.ndarray:
+    """Kernels rotated by 180 degrees with input and output channels swapped:
+    (out, in, kh, kw) -> (in, out, kh, kw). With stride 1, the input delta of
+    a convolution is the full-padded convolution of the output delta with
+    these kernels."""
+    return np.ascontiguousarray(np.flip(w, axis=(2, 3)).transpose(1, 0, 2, 3))
+
+
+def fill_params(model: "Sequential", value: float) -> None:
+    """Set every weight and bias of the model to one value."""
+    model.params = [{k: np.full_like(v, float(value)) for k, v in p.items()} for p in model.params]
+
+
 # ----------------------------------------------------------- dropout masks
 def dropout_mask(units: int, ratio: float, seed: int, step: int, layer: int, k: int = 0) -> np.ndarray:
     """Scale per unit: 0 for the ``round(ratio*units)`` units with the

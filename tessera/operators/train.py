@@ -99,6 +99,26 @@ def early_stop_frame(history: DataFrame, epoch: str, value: str, lower_is_better
                     F.min_by(F.col(value), order).alias("best_value"))
 
 
+@dataclass
+class Compiled:
+    """A model with its optimizer (state initialised), loss and metric."""
+    model: Sequential
+    optimizer: Optimizer
+    loss: str
+    metric: str
+
+
+def compile_model(model: Sequential, optimizer: Optimizer, loss: str, metric: str) -> Compiled:
+    """Validate the loss/output pairing and the metric, and initialise the
+    optimizer state (velocity 0, accumulator at its initial value)."""
+    check_loss_pair(model, loss)
+    if metric not in M.METRICS:
+        raise ValueError(f"unknown metric {metric!r}")
+    M.check_output_rank(len(model.output_shape), metric)
+    optimizer.init_state(len(model.flat()))
+    return Compiled(model, optimizer, loss, metric)
+
+
 def evaluate(model: Sequential, data: Dataset, loss: str, metric: str) -> DataFrame:
     """Forward pass over the whole table, loss and metric in one aggregate."""
     check_loss_pair(model, loss)

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.plans.joins import lookup_join
+from tessera.session import checkpoint_dir
 from tessera.functions.missing import MISSING_TOKENS, is_missing_token, normalise_string, parse_double
 
 
@@ -34,24 +36,21 @@ class CsvTable:
 def _with_file_order_id(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Add ``row_id``: 0-based line position over files sorted by path.
 
-    One grouped count per input split (``_metadata``), collected - it is
-    bounded by the number of splits - and turned into offsets on the driver;
-    the offsets go back as a broadcast table, so later actions do not
-    recompute the count.
+    One grouped count per input split (``_metadata``); the running offsets
+    are a window over that split table (one row per split, so bounded) and
+    are checkpointed once in the shared folder, so later actions do not
+    recompute them. The lookup broadcasts them only under the checked size.
     """
+    checkpoint_dir(spark)
     d = raw.select("*", F.col("_metadata.file_path").alias("_f"),
                    F.col("_metadata.file_block_start").alias("_b"),
                    F.monotonically_increasing_id().alias("_m"))
-    splits = sorted((r["_f"], r["_b"], r["_m0"], r["_n"]) for r in
-                    d.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"),
-                                              F.count(F.lit(1)).alias("_n")).collect())
-    offs, total = [], 0
-    for f, blk, m0, n in splits:
-        offs.append((f, blk, m0, total))
-        total += n
-    odf = spark.createDataFrame(offs, "_f string, _b long, _m0 long, _off long")
-    return (d.join(F.broadcast(odf), ["_f", "_b"])
-            .withColumn("row_id", (F.col("_off") + F.col("_m") - F.col("_m0")).cast("long"))
+    splits = d.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (splits.select("_f", "_b", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+            .checkpoint(eager=True))
+    j = lookup_join(d, offs, ["_f", "_b"], offs.count(), how="inner")
+    return (j.withColumn("row_id", (F.col("_off") + F.col("_m") - F.col("_m0")).cast("long"))
             .drop("_m", "_m0", "_off", "_b"))
 
 

@@ -135,3 +135,14 @@ def test_d43_shape_checks_before_jobs(spark):
         la.rows_matmul_small(a, np.ones((3, 2)), 2)
     with pytest.raises(ValueError):
         Sequential((4,), [Dense(2), __import__("tessera.operators.model", fromlist=["Conv2D"]).Conv2D(1, (2, 2))])
+
+
+def test_compile_rejects_bad_pairs():
+    from tessera.operators.train import compile_model
+    m = Sequential((3,), [Dense(2, "sigmoid")], seed=1)
+    with pytest.raises(ValueError):
+        compile_model(m, new_optimizer("SGD"), "categorical_crossentropy", "accuracy")
+    with pytest.raises(ValueError):
+        compile_model(m, new_optimizer("SGD"), "binary_crossentropy", "auc")
+    c = compile_model(m, new_optimizer("Adagrad"), "binary_crossentropy", "accuracy")
+    assert np.allclose(c.optimizer.state["acc"], 0.1)

@@ -150,3 +150,14 @@ def test_large_product_uses_numpy_kernel(spark):
     df = spark.createDataFrame([(i, x[i].tolist()) for i in range(40)], "i long, x array<double>")
     got = {r["i"]: r["x"] for r in la.rows_matmul_small(df, w, 80).collect()}
     assert np.allclose(np.array([got[i] for i in range(40)]), x @ w)
+
+
+def test_rot_kernels_give_input_delta_for_stride_one():
+    from tessera.operators.model import conv_backward, conv_forward, rot_kernels
+    rng = np.random.default_rng(4)
+    x, w = rng.normal(size=(2, 3, 6, 6)), rng.normal(size=(4, 3, 3, 3))
+    dz = rng.normal(size=(2, 4, 4, 4))
+    _, _, dx = conv_backward(x, w, dz, (1, 1), (0, 0))
+    full = conv_forward(dz, rot_kernels(w), np.zeros(3), (1, 1), (2, 2))
+    assert np.allclose(dx, full)
+    assert np.allclose(rot_kernels(rot_kernels(w)), w)
