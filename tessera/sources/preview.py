@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import ArrayType, NumericType
 
 from tessera.plans.positions import positions_by_key
 
@@ -24,11 +24,18 @@ def preview(df: DataFrame, n: int = 10, key: str = "row_id") -> DataFrame:
     as ``%.2f`` strings, missing values as ``nan``."""
     src = df.orderBy(key).limit(n) if n >= 0 else df
     num = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    arr = {f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)}
     cols = [F.col(key)]
     for c in df.columns:
         if c == key:
             continue
-        cols.append((fmt2(F.col(c)) if c in num else F.coalesce(F.col(c), F.lit("nan"))).alias(c))
+        if c in num:
+            e = fmt2(F.col(c))
+        elif c in arr:   # dataset vectors: every element as %.2f, space separated
+            e = F.array_join(F.transform(F.col(c), lambda v: fmt2(v)), " ")
+        else:
+            e = F.coalesce(F.col(c), F.lit("nan"))
+        cols.append(e.alias(c))
     out = src.select(*cols)
     if n >= 0:
         # at most n rows: numbering them with one window is bounded

@@ -192,3 +192,12 @@ def test_unknown_names_rejected():
         EarlyStopping("loss", patience=0)
     assert math.isclose(new_optimizer("SGD").learning_rate, 0.01)
     assert math.isclose(new_optimizer("Adadelta").rho, 0.95)
+
+
+def test_preview_of_dataset_rows(spark):
+    from tessera.sources.preview import preview
+    df = spark.createDataFrame([(1, [1.0, None], 2.345), (0, [0.5, 1.25], None)],
+                               "row_id long, x array<double>, v double")
+    rows = [tuple(r) for r in preview(df, 5).collect()]
+    assert rows == [(0, "0.50 1.25", "nan", 1), (1, "1.00 nan", "2.35", 2)] or \
+        rows == [(0, "0.50 1.25", "nan", 1), (1, "1.00 nan", "2.34", 2)]
