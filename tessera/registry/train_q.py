@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.operators.model import Dense, Sequential
+from tessera.operators.model import AvgPool2D, Conv2D, Dense, Flatten, Sequential
 from tessera.operators.optim import new_optimizer
 from tessera.operators.score import collect_gradient, gradient_sums
 from tessera.operators.train import EarlyStopping, early_stop_frame, fit
@@ -158,6 +158,21 @@ def q_train_mlp(spark, sf):
     return hist
 
 
+@query("train_cnn")
+def q_train_cnn(spark, sf):
+    """The reference demo's network shape on 8x8 images: conv, average pool,
+    conv, average pool, dense 120 / 84 / 10; SGD with Nesterov momentum."""
+    model = Sequential((1, 8, 8), [
+        Conv2D(6, (3, 3), (1, 1), (1, 1), "relu"), AvgPool2D((2, 2), (2, 2)),
+        Conv2D(16, (3, 3), (1, 1), (1, 1), "relu"), AvgPool2D((2, 2), (2, 2)),
+        Flatten(), Dense(120, "relu"), Dense(84, "relu"), Dense(10, "softmax")], seed=9)
+    opt = new_optimizer("SGD", learning_rate=0.01, momentum=0.9, nesterov=True)
+    _, hist = fit(model, emb_dataset(spark, sf), opt, "categorical_crossentropy", "categorical_accuracy",
+                  epochs=2, batch_size=256, validation_split=0.2,
+                  early_stopping=EarlyStopping("val_loss", patience=15), seed=11)
+    return hist
+
+
 HIST_SQL = """h0 AS (SELECT CAST(ts AS DATE) AS day, avg(value) AS v FROM events GROUP BY 1),
 h AS (SELECT row_number() OVER (ORDER BY day) AS epoch, v FROM h0),
 f AS (SELECT epoch, v, (lag(v) OVER (ORDER BY epoch) IS NULL OR v <= lag(v) OVER (ORDER BY epoch)) AS imp FROM h),
