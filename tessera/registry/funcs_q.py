@@ -36,7 +36,8 @@ def q_activations(spark, sf):
 
 @query("activation_derivatives", f"""
 WITH {LONG_SQL}
-SELECT vec_id, CAST(p AS BIGINT) AS p, 1.0 AS d_linear, CASE WHEN z > 0 THEN 1.0 ELSE 0.0 END AS d_relu,
+SELECT vec_id, CAST(p AS BIGINT) AS p, CAST(1.0 AS DOUBLE) AS d_linear,
+       CAST(CASE WHEN z > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS d_relu,
        {R(f'({SIG}) * (1 - {SIG})')} AS d_sigmoid, {R('1 - tanh(z) * tanh(z)')} AS d_tanh,
        {R(SIG)} AS d_softplus
 FROM long

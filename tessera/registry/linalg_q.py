@@ -43,7 +43,7 @@ def cells_out(df):
 
 
 @query("matrix_fill", """
-SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, 0.5 AS v
+SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, CAST(0.5 AS DOUBLE) AS v
 FROM (SELECT row_number() OVER () - 1 AS i FROM lineitem) r, range(4) t(j)
 """)
 def q_matrix_fill(spark, sf):

@@ -179,7 +179,7 @@ def q_label_encode_unseen(spark, sf):
 WITH d AS {PART_DICT},
 pc AS (SELECT p_partkey, COALESCE(d.code, -1) AS code
        FROM part LEFT JOIN d ON COALESCE(CAST(p_type AS VARCHAR), 'nan') = d.value)
-SELECT p_partkey, d.code AS j, CASE WHEN pc.code = d.code THEN 1.0 ELSE 0.0 END AS v
+SELECT p_partkey, d.code AS j, CAST(CASE WHEN pc.code = d.code THEN 1.0 ELSE 0.0 END AS DOUBLE) AS v
 FROM pc CROSS JOIN d
 """)
 def q_one_hot_encode(spark, sf):
@@ -194,7 +194,7 @@ WITH d AS (SELECT value, CAST(row_number() OVER (ORDER BY first) - 1 AS BIGINT)
            FROM (SELECT CAST(CAST(label AS DOUBLE) AS VARCHAR) AS value, min(vec_id) AS first
                  FROM embeddings GROUP BY 1) t),
 ec AS (SELECT vec_id, d.code FROM embeddings JOIN d ON CAST(CAST(label AS DOUBLE) AS VARCHAR) = d.value)
-SELECT vec_id, d.code AS j, CASE WHEN ec.code = d.code THEN 1.0 ELSE 0.0 END AS v
+SELECT vec_id, d.code AS j, CAST(CASE WHEN ec.code = d.code THEN 1.0 ELSE 0.0 END AS DOUBLE) AS v
 FROM ec CROSS JOIN d
 """)
 def q_one_hot_numeric(spark, sf):

@@ -21,6 +21,10 @@ from tessera.registry import ORACLES, QUERIES, load_all  # noqa: E402
 from tessera.sources.tables import TABLES  # noqa: E402
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "date": "DATE"}
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -60,6 +64,11 @@ def compare(spark, sf_dir: str, name: str, con=None) -> tuple[bool, str]:
     d_rows = res.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    if s_types != d_types:
+        return False, f"types differ: spark={s_types} duck={d_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
