@@ -78,10 +78,21 @@ def modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
     return {c: got.get(c) for c in cols}
 
 
-def mean_median(df: DataFrame, cols: list[str]) -> DataFrame:
+def mean_median(df: DataFrame, cols: list[str], approx: bool = False,
+                accuracy: int = 10_000) -> DataFrame:
     """(column, mean, median) with an exact median that never gathers a
-    column into one task (see ``plans.quantile``)."""
+    column into one task (see ``plans.quantile``). ``approx=True`` uses one
+    ``percentile_approx`` aggregate instead (rank error <= n / accuracy)."""
     spark = df.sparkSession
+    if approx:
+        aggs = []
+        for i, c in enumerate(cols):
+            x = F.col(c).cast("double")
+            aggs += [F.avg(x).alias(f"m{i}"), F.percentile_approx(x, 0.5, accuracy).alias(f"q{i}")]
+        wide = df.agg(*aggs)
+        rows = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("mean"),
+                         F.col(f"q{i}").cast("double").alias("median")) for i, c in enumerate(cols)]
+        return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")

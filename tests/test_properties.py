@@ -161,3 +161,13 @@ def test_rot_kernels_give_input_delta_for_stride_one():
     full = conv_forward(dz, rot_kernels(w), np.zeros(3), (1, 1), (2, 2))
     assert np.allclose(dx, full)
     assert np.allclose(rot_kernels(rot_kernels(w)), w)
+
+
+def test_approximate_median_opt_in(spark):
+    from tessera.operators.profile import mean_median
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_quantity", "l_extendedprice")
+    exact = {r["column"]: r["median"] for r in mean_median(li, ["l_quantity", "l_extendedprice"]).collect()}
+    approx = {r["column"]: r["median"] for r in mean_median(li, ["l_quantity", "l_extendedprice"], True).collect()}
+    vals = sorted(r[0] for r in li.select("l_extendedprice").collect())
+    lo, hi = vals[int(len(vals) * 0.49)], vals[int(len(vals) * 0.51)]
+    assert approx["l_quantity"] == exact["l_quantity"] and lo <= approx["l_extendedprice"] <= hi
