@@ -69,13 +69,18 @@ def predict(df: DataFrame, model: Sequential, key: str = "row_id", x: str = "x",
 
 
 def gradient_sums(df: DataFrame, model: Sequential, loss: str, metric: str | None,
-                  masks=None, lookahead=None, x: str = "x", y: str = "y") -> DataFrame:
+                  masks=None, lookahead=None, x: str = "x", y: str = "y",
+                  broadcasts: list | None = None) -> DataFrame:
     """``(idx, g)``: per-parameter gradient sums over all rows (idx >= 0, flat
     parameter order), the row count (idx -1), loss sum (-2) and metric sum
-    (-3). Divide by the count once on the driver."""
+    (-3). Divide by the count once on the driver. The parameter broadcast is
+    appended to ``broadcasts`` so a caller that has collected the result can
+    release it."""
     check_loss_pair(model, loss)
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast((model, model.params, masks, lookahead, loss, metric))
+    if broadcasts is not None:
+        broadcasts.append(bc)
     src = df.select(F.col(x).cast("array<double>").alias("x"), F.col(y).cast("array<double>").alias("y"))
 
     def run(batches):

@@ -21,7 +21,7 @@ from tessera.operators.model import Sequential, check_loss_pair, layer_masks
 from tessera.operators.optim import Optimizer
 from tessera.operators.score import collect_gradient, gradient_sums, predict
 from tessera.operators.split import train_test_split, with_batches
-from tessera.session import scratch_path
+from tessera.session import remove_scratch, scratch_path
 
 # Monitored quantities (even index: lower is better).
 MONITORS = ("loss", "accuracy", "val_loss", "val_accuracy")
@@ -157,11 +157,15 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
     es = EarlyStopState(early_stopping) if early_stopping else None
     best_w = w.copy()
     history, step = [], 0
+    scratch = [path]
     for epoch in range(1, epochs + 1):
         if n_batches == 1:
             batches = [train_df]
         else:
+            if len(scratch) > 1:       # the previous epoch's batches are no longer read
+                remove_scratch(spark, scratch.pop())
             bpath = scratch_path(spark, f"batches-e{epoch}")
+            scratch.append(bpath)
             # rows come out in permutation order: every file and row group
             # covers a disjoint range of batches, so a step prunes the rest
             (with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size, ordered_output=True)
@@ -175,8 +179,11 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
             masks = layer_masks(model, seed, step)
             la = optimizer.lookahead(w)
             look = model.unflat(la) if la is not None else None
+            bcs: list = []
             g, cnt, lsum, msum = collect_gradient(
-                gradient_sums(bdf, model, loss, metric, masks, look), len(w))
+                gradient_sums(bdf, model, loss, metric, masks, look, broadcasts=bcs), len(w))
+            for bc in bcs:
+                bc.unpersist()
             outputs = int(np.prod(model.output_shape))
             losses.append(lsum / (cnt * outputs if loss == "mse" else cnt))
             mets.append(msum / (cnt * outputs if metric in ("mse", "mae") else cnt))
@@ -198,6 +205,8 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
                 break
     if es is not None and es.es.restore_best_weights:
         model.params = model.unflat(best_w)
+    for old in scratch:
+        remove_scratch(spark, old)
     hist = spark.createDataFrame(
         [(h["epoch"], h["loss"], h["metric"], h["val_loss"], h["val_metric"]) for h in history],
         "epoch long, loss double, metric double, val_loss double, val_metric double")

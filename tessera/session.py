@@ -73,6 +73,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table this package wrote under the shared
+    folder (Hadoop FileSystem API, so it works for any cluster file system)."""
+    base = checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(base + "/"):
+        raise ValueError("only scratch tables under the shared folder can be removed")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
 
@@ -81,5 +92,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "default_parallelism",
-           "local_path", "BASE_CONF"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "remove_scratch",
+           "default_parallelism", "local_path", "BASE_CONF"]
