@@ -103,8 +103,14 @@ def rows_matmul_small(a: DataFrame, w: np.ndarray, width_a: int, x: str = "x") -
 
 def gram_cells(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str = "y") -> DataFrame:
     """AᵀB of two tall row-form matrices stored on the same rows (columns
-    ``x`` and ``y``) as cells ``(i, j, v)``: one aggregate of width_a*width_b
-    sums with map-side partial aggregation, exploded from its single row."""
+    ``x`` and ``y``) as cells ``(i, j, v)``.
+
+    Up to ``EXPR_CELLS`` outputs: one aggregate of width_a*width_b sums with
+    map-side partial aggregation, exploded from its single row. Larger: every
+    task adds ``XᵀY`` of its Arrow batches with numpy and emits one partial row
+    per cell; a grouped sum (output the size of AᵀB) finishes it."""
+    if width_a * width_b > EXPR_CELLS:
+        return _gram_cells_numpy(df, width_a, width_b, x, y)
     aggs = [F.sum(F.element_at(F.col(x), i + 1) * F.element_at(F.col(y), j + 1)).alias(f"g{i}_{j}")
             for i in range(width_a) for j in range(width_b)]
     one = df.agg(*aggs)
@@ -114,6 +120,29 @@ def gram_cells(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str =
     return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
+def _gram_cells_numpy(df: DataFrame, wa: int, wb: int, x: str, y: str) -> DataFrame:
+    import pyarrow as pa
+    from tessera.operators.score import list_to_np
+    src = df.select(F.col(x).cast("array<double>").alias("x"), F.col(y).cast("array<double>").alias("y"))
+
+    def run(batches):
+        acc = None
+        for b in batches:
+            xs, ys = list_to_np(b.column("x")), list_to_np(b.column("y"))
+            if len(xs) == 0:
+                continue
+            if xs.shape[1] != wa or ys.shape[1] != wb:
+                raise ValueError("row width does not match the declared shape")
+            part = xs.T @ ys
+            acc = part if acc is None else acc + part
+        if acc is not None:
+            ii, jj = np.divmod(np.arange(wa * wb, dtype=np.int64), wb)
+            yield pa.RecordBatch.from_arrays([pa.array(ii), pa.array(jj), pa.array(acc.ravel())],
+                                             names=["i", "j", "v"])
+
+    return src.mapInArrow(run, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
 def rows_gram(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str = "y") -> np.ndarray:
     """AᵀB as a driver array (width_a x width_b, model-sized)."""
     g = np.zeros((width_a, width_b))

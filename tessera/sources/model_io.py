@@ -11,6 +11,7 @@ import json
 from dataclasses import asdict
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import SparkSession
 
 from tessera.operators.model import LAYER_TYPES, Sequential
@@ -25,7 +26,17 @@ def save_model(spark: SparkSession, model: Sequential, path: str) -> None:
         rows.append((i, cfg.pop("kind"), json.dumps(cfg)))
     spark.createDataFrame(rows, "layer int, kind string, config string") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/layers")
-    spark.createDataFrame(list(model.param_rows()), "layer int, param string, idx long, v double") \
+    frames = []
+    for li, p in enumerate(model.params):
+        for k in ("w", "b"):
+            if k in p:
+                v = np.asarray(p[k], dtype=float).ravel()
+                frames.append(pd.DataFrame({"layer": np.full(v.size, li, dtype=np.int32), "param": k,
+                                            "idx": np.arange(v.size, dtype=np.int64), "v": v}))
+    pdf = pd.concat(frames, ignore_index=True) if frames else \
+        pd.DataFrame({"layer": [], "param": [], "idx": [], "v": []})
+    # Arrow transfer of a model-sized table
+    spark.createDataFrame(pdf, "layer int, param string, idx long, v double") \
         .write.mode("overwrite").parquet(f"{path}/params")
 
 
@@ -43,7 +54,12 @@ def load_model(spark: SparkSession, path: str) -> Sequential:
         layers.append(LAYER_TYPES[r["kind"]](**cfg))
     model = Sequential(tuple(meta["input_shape"]), layers, seed=0)
     params = [{k: np.array(v, dtype=float) for k, v in p.items()} for p in model.params]
-    for r in spark.read.parquet(f"{path}/params").collect():      # model-sized
-        params[r["layer"]][r["param"]].reshape(-1)[r["idx"]] = r["v"]
+    t = spark.read.parquet(f"{path}/params").toArrow()            # model-sized
+    layer, param = t.column("layer").to_numpy(), np.array(t.column("param").to_pylist())
+    idx, val = t.column("idx").to_numpy(), t.column("v").to_numpy()
+    for li, p in enumerate(params):
+        for k in p:
+            sel = (layer == li) & (param == k)
+            p[k].reshape(-1)[idx[sel]] = val[sel]
     model.params = params
     return model

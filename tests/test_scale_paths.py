@@ -73,3 +73,11 @@ def test_grouped_gradient_sum_equals_direct(spark, monkeypatch):
     monkeypatch.setattr(sc, "DIRECT_COLLECT_VALUES", 0)
     grouped = sc.collect_gradient(sc.gradient_sums(df, model, "categorical_crossentropy", "accuracy"), 15)
     assert np.allclose(direct[0], grouped[0]) and direct[1:] == pytest.approx(grouped[1:])
+
+
+def test_large_gram_uses_numpy_partials(spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(50, 70)), rng.normal(size=(50, 60))      # 4,200 cells > EXPR_CELLS
+    df = spark.createDataFrame([(x[i].tolist(), y[i].tolist()) for i in range(50)],
+                               "x array<double>, y array<double>").repartition(3)
+    assert np.allclose(la.rows_gram(df, 70, 60), x.T @ y)
