@@ -323,6 +323,9 @@ def layer_masks(model: Sequential, seed: int, step: int) -> list[np.ndarray | No
 
 # ------------------------------------------------------- forward / backward
 def _reshape_in(model: Sequential, x: np.ndarray) -> np.ndarray:
+    width = int(np.prod(model.input_shape))
+    if x.shape[1] != width:
+        raise ValueError(f"rows have {x.shape[1]} features, the model expects {model.input_shape} = {width}")
     return x.reshape((x.shape[0],) + model.input_shape)
 
 

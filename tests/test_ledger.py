@@ -146,3 +146,10 @@ def test_compile_rejects_bad_pairs():
         compile_model(m, new_optimizer("SGD"), "binary_crossentropy", "auc")
     c = compile_model(m, new_optimizer("Adagrad"), "binary_crossentropy", "accuracy")
     assert np.allclose(c.optimizer.state["acc"], 0.1)
+
+
+def test_d42_input_shape_checked(spark):
+    from tessera.operators.model import Conv2D, forward
+    m = Sequential((1, 3, 3), [Conv2D(1, (2, 2))], seed=1)
+    with pytest.raises(ValueError):
+        forward(m, m.params, np.ones((2, 8)))

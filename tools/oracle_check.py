@@ -82,8 +82,15 @@ def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
-    from tessera.session import get_session
-    spark = get_session(master="local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's view: a session without this package's defaults
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from tessera.session import get_session
+        spark = get_session(master="local[8]", shuffle_partitions=8)
     load_all()
     con = duck(sf_dir)
     fails = 0
