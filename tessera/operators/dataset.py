@@ -105,3 +105,12 @@ def to_image_dataset(df: DataFrame, pixels: str | list[str], label: str, shape:
     out = enc.select(F.col(key).alias("row_id"), reorder_pixels(F.col("_px"), c, h, w).alias("x"),
                      one_hot(F.col("_code"), dic.size).alias("y"))
     return Dataset(out, [str(i) for i in range(size)], (c, h, w), dic.size, {label: dic})
+
+
+def split_dataset(ds: Dataset, test_size: float, seed: int) -> tuple[Dataset, Dataset]:
+    """(train, test) datasets with exactly ``round(test_size * n)`` test rows
+    (first rows of the seeded permutation of ``row_id``); metadata is kept."""
+    from tessera.operators.split import train_test_split
+    train, test = train_test_split(ds.df, "row_id", test_size, seed)
+    return (Dataset(train, ds.features, ds.shape, ds.classes, ds.dictionaries),
+            Dataset(test, ds.features, ds.shape, ds.classes, ds.dictionaries))

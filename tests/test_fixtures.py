@@ -201,3 +201,11 @@ def test_preview_of_dataset_rows(spark):
     rows = [tuple(r) for r in preview(df, 5).collect()]
     assert rows == [(0, "0.50 1.25", "nan", 1), (1, "1.00 nan", "2.35", 2)] or \
         rows == [(0, "0.50 1.25", "nan", 1), (1, "1.00 nan", "2.34", 2)]
+
+
+def test_split_dataset_keeps_metadata(spark):
+    from tessera.operators.dataset import Dataset, split_dataset
+    df = spark.createDataFrame([(i, [float(i)], [1.0]) for i in range(10)],
+                               "row_id long, x array<double>, y array<double>")
+    tr, te = split_dataset(Dataset(df, ["a"], (1, 1, 1), 1), 0.25, 5)
+    assert te.count() == 3 and tr.count() == 7 and te.shape == (1, 1, 1) and tr.classes == 1
