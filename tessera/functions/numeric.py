@@ -26,3 +26,14 @@ def double_array(c: Column | str) -> Column:
     """ARRAY<FLOAT> (or any numeric array) -> ARRAY<DOUBLE> before arithmetic."""
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("array<double>")
+
+
+def double_array_lit(values) -> Column:
+    """ARRAY<DOUBLE> literal built from one SQL expression (one call to the
+    JVM instead of one per element)."""
+    vals = [float(v) for v in values]
+    if not vals:
+        return F.array().cast("array<double>")
+    if not all(v == v and abs(v) != float("inf") for v in vals):
+        return F.array(*[F.lit(v) for v in vals])
+    return F.expr("array(" + ", ".join(f"{v!r}D" for v in vals) + ")")

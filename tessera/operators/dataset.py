@@ -85,7 +85,8 @@ def image_permutation(channels: int, rows: int, cols: int) -> list[int]:
 def reorder_pixels(x, channels: int, rows: int, cols: int):
     """Interleaved pixel array -> channel-row-col array (constant permutation)."""
     perm = image_permutation(channels, rows, cols)
-    return F.transform(F.array(*[F.lit(p) for p in perm]), lambda p: F.element_at(x, p + 1))
+    idx = F.expr("array(" + ", ".join(str(p + 1) for p in perm) + ")")   # one literal, 1-based
+    return F.transform(idx, lambda p: F.element_at(x, p))
 
 
 def to_image_dataset(df: DataFrame, pixels: str | list[str], label: str, shape: tuple[int, int, int],

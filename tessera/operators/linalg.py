@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import double_array_lit
+
 # Right-hand matrices up to this many cells are broadcast.
 SMALL_CELLS = 1_000_000
 # Up to this many cells the product stays a JVM expression; above it the
@@ -51,8 +53,7 @@ def rows_scale(a: DataFrame, s: float, x: str = "x") -> DataFrame:
 
 def rows_add_bias(a: DataFrame, bias: Sequence[float], x: str = "x") -> DataFrame:
     """x[j] + b[j] (a per-column bias, inlined as a literal array)."""
-    b = F.array(*[F.lit(float(v)) for v in bias])
-    return a.withColumn(x, F.zip_with(F.col(x), b, lambda p, q: p + q))
+    return a.withColumn(x, F.zip_with(F.col(x), double_array_lit(bias), lambda p, q: p + q))
 
 
 def dot(u: Column, v: Column) -> Column:
@@ -65,7 +66,7 @@ def matvec_expr(x: Column, w: np.ndarray) -> Column:
     k, m = w.shape
     if k * m > SMALL_CELLS:
         raise ValueError("right-hand matrix too large to inline; use cells_matmul")
-    cols = [F.array(*[F.lit(float(w[r, c])) for r in range(k)]) for c in range(m)]
+    cols = [double_array_lit(w[:, c]) for c in range(m)]
     return F.array(*[dot(x, col) for col in cols])
 
 

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import double_array_lit
+
 KINDS = ("standard", "minmax")
 
 
@@ -38,8 +40,8 @@ class Scaler:
                            for c in df.columns])
 
     def transform_array(self, df: DataFrame, col: str = "x") -> DataFrame:
-        a = F.array(*[F.lit(v).cast("double") for v in self.a])
-        b = F.array(*[F.lit(v).cast("double") for v in self.b])
+        a = _stat_array(self.a)
+        b = _stat_array(self.b)
         stats = F.arrays_zip(a.alias("a"), b.alias("b"))
         if self.kind == "standard":
             fn = lambda v, s: F.try_divide(v - s["a"], s["b"])
@@ -61,6 +63,13 @@ class Scaler:
                       [r["b"] for r in rows])
 
 
+def _stat_array(vals):
+    """Literal statistics array; NULL statistics (empty column) stay NULL."""
+    if any(v is None for v in vals):
+        return F.array(*[F.lit(v).cast("double") for v in vals])
+    return double_array_lit(vals)
+
+
 def _ab(kind: str, x):
     if kind == "standard":
         return F.avg(x), F.stddev_samp(x)

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.functions import activations as act
-from tessera.functions.numeric import r4
+from tessera.functions.numeric import double_array_lit, r4
 from tessera.operators import linalg as la
 from tessera.operators import metrics as M
 from tessera.operators.dataset import Dataset
@@ -171,8 +171,7 @@ FROM x JOIN u ON x.k = u.k
 def q_dropout_mask(spark, sf):
     mask = dropout_mask(64, 0.25, seed=11, step=1, layer=0, k=0)   # model-sized (64 units)
     rows = emb_rows(spark, sf).select("row_id", "x")
-    out = rows.select("row_id", F.zip_with("x", F.array(*[F.lit(float(v)) for v in mask]),
-                                           lambda a, b: a * b).alias("y_pred"))
+    out = rows.select("row_id", F.zip_with("x", double_array_lit(mask), lambda a, b: a * b).alias("y_pred"))
     return cells(out).withColumnRenamed("j", "p")
 
 
