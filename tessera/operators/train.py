@@ -20,7 +20,7 @@ from tessera.operators.dataset import Dataset
 from tessera.operators.model import Sequential, check_loss_pair, layer_masks
 from tessera.operators.optim import Optimizer
 from tessera.operators.score import collect_gradient, gradient_sums, predict
-from tessera.operators.split import train_test_split, with_batches
+from tessera.operators.split import round_half_away, train_test_split, with_batches
 from tessera.session import remove_scratch, scratch_path
 
 # Monitored quantities (even index: lower is better).
@@ -138,15 +138,19 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
     check_loss_pair(model, loss)
     spark = data.df.sparkSession
     train_df = data.df.select("row_id", "x", "y")
+    n = None
     if val is None and validation_split > 0:
         vs = validation_split if validation_split < 1 else 0.2
-        train_df, val_df = train_test_split(train_df, "row_id", vs, seed=epochs)
+        n_all = train_df.count()
+        train_df, val_df = train_test_split(train_df, "row_id", vs, seed=epochs, n=n_all)
+        n = n_all - round_half_away(vs * n_all)
         val = Dataset(val_df, data.features, data.shape, data.classes)
     # cut the lineage once: the prepared training rows live in the shared folder
     path = scratch_path(spark, "train")
+    schema = train_df.schema
     train_df.write.mode("overwrite").parquet(path)
-    train_df = spark.read.parquet(path)
-    n = train_df.count()
+    train_df = spark.read.schema(schema).parquet(path)
+    n = train_df.count() if n is None else n
     if n == 0:
         raise ValueError("no training rows")
     if batch_size <= 0 or batch_size >= n:
@@ -166,11 +170,13 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
                 remove_scratch(spark, scratch.pop())
             bpath = scratch_path(spark, f"batches-e{epoch}")
             scratch.append(bpath)
-            # rows come out in permutation order: every file and row group
-            # covers a disjoint range of batches, so a step prunes the rest
-            (with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size, ordered_output=True)
-             .write.mode("overwrite").parquet(bpath))
-            bt = spark.read.parquet(bpath)
+            # each task writes whole coarse buckets, rows sorted by position
+            # inside them: row groups cover narrow batch ranges, so a step
+            # reading ``batch == b`` prunes the others by their statistics
+            batched = with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size)
+            bschema = batched.schema
+            batched.write.mode("overwrite").parquet(bpath)
+            bt = spark.read.schema(bschema).parquet(bpath)
             batches = [bt.where(F.col("batch") == b) for b in range(n_batches)]
         losses, mets = [], []
         for bdf in batches:
