@@ -36,6 +36,18 @@ def R(expr: str) -> str:
     return f"(CASE WHEN round(CAST({expr} AS DOUBLE), 4) = 0 THEN 0.0 ELSE round(CAST({expr} AS DOUBLE), 4) END)"
 
 
+def R6(expr: str) -> str:
+    """SQL: round half away from zero to 6 decimals (gradients, parameters)."""
+    return (f"(CASE WHEN round(CAST({expr} AS DOUBLE), 6) = 0 THEN 0.0 "
+            f"ELSE round(CAST({expr} AS DOUBLE), 6) END)")
+
+
+def r6(c):
+    from pyspark.sql import functions as F
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("double"), 6)
+
+
 def load_all() -> None:
     for m in _MODULES:
         importlib.import_module(f"tessera.registry.{m}")

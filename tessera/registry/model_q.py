@@ -20,7 +20,7 @@ from tessera.operators.model import (AvgPool2D, Conv2D, Dense, Flatten, MaxPool2
                                      dropout_mask)
 from tessera.operators.score import predict
 from tessera.operators.train import evaluate
-from tessera.registry.base import R, query, tbl
+from tessera.registry.base import R, R6, query, tbl
 from tessera.session import scratch_path
 from tessera.sources.model_io import load_model, save_model
 
@@ -185,7 +185,69 @@ def cnn() -> Sequential:
                                   Flatten(), Dense(10, "softmax")], seed=5)
 
 
-@query("score_cnn")
+def _u_sql(tag: str, idx: str) -> str:
+    """SQL form of the md5-seeded uniform(-0.1, 0.1) parameter initialiser."""
+    return (f"(CAST(CAST('0x' || substr(md5('5:{tag}:' || CAST({idx} AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE)"
+            f" / 4294967296.0 * 0.2 - 0.1)")
+
+
+# the conv net's forward pass as CTEs: conv (pre-activation zc, relu a),
+# 2x2 max pool flattened to f = channel*16 + row*4 + col, dense, softmax
+CNN_FWD_SQL = f"""{IMG_SQL},
+k AS (SELECT o, ki, kj, {_u_sql('0:w', 'o * 9 + ki * 3 + kj')} AS w FROM range(4) a(o), range(3) b(ki), range(3) c(kj)),
+kb AS (SELECT o, {_u_sql('0:b', 'o')} AS b FROM range(4) a(o)),
+outp AS (SELECT vec_id, o, oi, oj FROM (SELECT DISTINCT vec_id FROM img), range(4) a(o), range(8) b(oi), range(8) c(oj)),
+conv AS (SELECT outp.vec_id, outp.o, outp.oi, outp.oj, COALESCE(sum(k.w * px.v), 0) + max(kb.b) AS zc
+         FROM outp JOIN k ON k.o = outp.o JOIN kb ON kb.o = outp.o
+         LEFT JOIN px ON px.vec_id = outp.vec_id AND px.r = outp.oi - 1 + k.ki AND px.c = outp.oj - 1 + k.kj
+         GROUP BY outp.vec_id, outp.o, outp.oi, outp.oj),
+ca AS (SELECT vec_id, o, oi, oj, zc, greatest(zc, 0) AS a FROM conv),
+pool AS (SELECT vec_id, o * 16 + (oi // 2) * 4 + (oj // 2) AS f, max(a) AS m
+         FROM ca GROUP BY vec_id, o, oi // 2, oj // 2),
+dw AS (SELECT f, j, {_u_sql('3:w', 'f * 10 + j')} AS w FROM range(64) a(f), range(10) b(j)),
+db AS (SELECT j, {_u_sql('3:b', 'j')} AS b FROM range(10) b(j)),
+z AS (SELECT pool.vec_id, dw.j, sum(pool.m * dw.w) + max(db.b) AS z
+      FROM pool JOIN dw ON pool.f = dw.f JOIN db ON db.j = dw.j GROUP BY pool.vec_id, dw.j),
+zm AS (SELECT vec_id, max(z) AS mx FROM z GROUP BY vec_id),
+ez AS (SELECT z.vec_id, z.j, exp(z.z - zm.mx) AS e FROM z JOIN zm ON z.vec_id = zm.vec_id),
+es AS (SELECT vec_id, sum(e) AS s FROM ez GROUP BY vec_id)"""
+
+SCORE_CNN_SQL = f"""WITH {CNN_FWD_SQL}
+SELECT ez.vec_id, CAST(ez.j AS BIGINT) AS j, {R('ez.e / es.s')} AS v FROM ez JOIN es ON ez.vec_id = es.vec_id
+"""
+
+# mean gradient over all rows (cce): delta = p - y at the softmax; max-pool
+# gradient to the first arg-max of each window; relu derivative zc > 0
+CNN_GRAD_SQL = f"""WITH {CNN_FWD_SQL},
+n AS (SELECT count(*) AS n FROM embeddings),
+p AS (SELECT ez.vec_id, ez.j, ez.e / es.s - CASE WHEN em.label = ez.j THEN 1.0 ELSE 0.0 END AS d
+      FROM ez JOIN es ON ez.vec_id = es.vec_id JOIN embeddings em ON em.vec_id = ez.vec_id),
+gd AS (SELECT pool.f, p.j, sum(pool.m * p.d) / (SELECT n FROM n) AS g FROM pool JOIN p ON pool.vec_id = p.vec_id
+       GROUP BY pool.f, p.j),
+gdb AS (SELECT j, sum(d) / (SELECT n FROM n) AS g FROM p GROUP BY j),
+dpool AS (SELECT p.vec_id, dw.f, sum(p.d * dw.w) AS d FROM p JOIN dw ON p.j = dw.j GROUP BY p.vec_id, dw.f),
+win AS (SELECT vec_id, o, oi, oj, zc, a, o * 16 + (oi // 2) * 4 + (oj // 2) AS f,
+               (oi % 2) * 2 + (oj % 2) AS pos FROM ca),
+arg AS (SELECT vec_id, f, arg_min(pos, (-a, pos)) AS pos FROM win GROUP BY vec_id, f),
+dz AS (SELECT win.vec_id, win.o, win.oi, win.oj, CASE WHEN win.zc > 0 THEN dpool.d ELSE 0.0 END AS d
+       FROM win JOIN arg ON win.vec_id = arg.vec_id AND win.f = arg.f AND win.pos = arg.pos
+       JOIN dpool ON dpool.vec_id = win.vec_id AND dpool.f = win.f),
+gk AS (SELECT k.o, k.ki, k.kj, sum(dz.d * px.v) / (SELECT n FROM n) AS g
+       FROM dz JOIN k ON k.o = dz.o
+       JOIN px ON px.vec_id = dz.vec_id AND px.r = dz.oi - 1 + k.ki AND px.c = dz.oj - 1 + k.kj
+       GROUP BY k.o, k.ki, k.kj),
+gk_all AS (SELECT k.o, k.ki, k.kj, COALESCE(gk.g, 0.0) AS g FROM k
+           LEFT JOIN gk ON gk.o = k.o AND gk.ki = k.ki AND gk.kj = k.kj),
+gkb AS (SELECT o, sum(d) / (SELECT n FROM n) AS g FROM dz GROUP BY o),
+allg AS (SELECT 0 AS layer, 'w' AS param, o * 9 + ki * 3 + kj AS idx, g FROM gk_all
+         UNION ALL SELECT 0, 'b', o, g FROM gkb
+         UNION ALL SELECT 3, 'w', f * 10 + j, g FROM gd
+         UNION ALL SELECT 3, 'b', j, g FROM gdb)
+SELECT CAST(layer AS BIGINT) AS layer, param, CAST(idx AS BIGINT) AS idx, {R6('g')} AS g FROM allg
+"""
+
+
+@query("score_cnn", SCORE_CNN_SQL)
 def q_score_cnn(spark, sf):
     return cells(predict(emb_rows(spark, sf), cnn()))
 

@@ -10,18 +10,8 @@ from tessera.operators.model import AvgPool2D, Conv2D, Dense, Flatten, Sequentia
 from tessera.operators.optim import new_optimizer
 from tessera.operators.score import collect_gradient, gradient_sums
 from tessera.operators.train import EarlyStopping, early_stop_frame, fit
-from tessera.registry.base import R, query, tbl
-from tessera.registry.model_q import X_SQL, cnn, emb_dataset, emb_rows, mlp
-
-
-def R6(expr: str) -> str:
-    return (f"(CASE WHEN round(CAST({expr} AS DOUBLE), 6) = 0 THEN 0.0 "
-            f"ELSE round(CAST({expr} AS DOUBLE), 6) END)")
-
-
-def r6(c):
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 6)
+from tessera.registry.base import R, R6, query, r6, tbl
+from tessera.registry.model_q import CNN_GRAD_SQL, X_SQL, cnn, emb_dataset, emb_rows, mlp
 
 
 def w_dense():
@@ -79,7 +69,7 @@ def q_gradient_dense(spark, sf):
     return gf.select("layer", "param", "idx", r6("g").alias("g"))
 
 
-@query("gradient_conv")
+@query("gradient_conv", CNN_GRAD_SQL)
 def q_gradient_conv(spark, sf):
     gf = gradient_frame(spark, sf, cnn())
     return gf.select("layer", "param", "idx", r6("g").alias("g"))
