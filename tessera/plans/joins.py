@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 BROADCAST_MAX_ROWS = 1_000_000
 SALT = 32
@@ -23,6 +24,8 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int
         raise ValueError("lookup_join supports left and inner joins")
     if small_rows <= BROADCAST_MAX_ROWS:
         return big.join(F.broadcast(small), on, how)
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salt)))
+    # a deterministic salt from the row's content (map columns cannot be hashed)
+    hashable = [F.col(f.name) for f in big.schema.fields if not isinstance(f.dataType, MapType)]
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return salted_big.join(salted_small, on + ["_salt"], how).drop("_salt")
