@@ -24,8 +24,10 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], small_rows: int
         raise ValueError("lookup_join supports left and inner joins")
     if small_rows <= BROADCAST_MAX_ROWS:
         return big.join(F.broadcast(small), on, how)
-    # a deterministic salt from the row's content (map columns cannot be hashed)
+    # salt from the row's content and its position in its input partition:
+    # identical rows of a hot key still spread (map columns cannot be hashed)
     hashable = [F.col(f.name) for f in big.schema.fields if not isinstance(f.dataType, MapType)]
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)))
+    salted_big = big.withColumn(
+        "_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id(), *hashable), F.lit(salt)))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return salted_big.join(salted_small, on + ["_salt"], how).drop("_salt")

@@ -40,6 +40,8 @@ def test_salted_join_with_hot_key(spark, monkeypatch):
     small = spark.createDataFrame([("hot", 1)] + [(str(i), i + 10) for i in range(50)], "k string, code int")
     out = joins.lookup_join(big, small, ["k"], 51)
     assert out.count() == 3000
+    only_keys = joins.lookup_join(big.select("k"), small, ["k"], 51)
+    assert only_keys.where("k = 'hot'").count() == 1000
     assert out.where("k = 'hot'").agg(F.min("code"), F.max("code")).collect()[0][:] == (1, 1)
 
 
