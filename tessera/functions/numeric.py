@@ -6,10 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def round_half_away(c: Column | str, digits: int) -> Column:
+    """``round(x * 10^d) / 10^d`` with ties away from zero, in double
+    arithmetic (codegen'd; no per-value BigDecimal). -0.0 becomes 0.0; values
+    too large to carry a fraction, NaN and NULL are returned unchanged."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    scale = float(10 ** digits)
+    v = x * F.lit(scale)
+    fl = F.floor(v).cast("double")
+    tie = (v - fl) == F.lit(0.5)
+    r = F.when(tie, F.when(v >= 0, fl + F.lit(1.0)).otherwise(fl)).otherwise(F.rint(v)) / F.lit(scale)
+    r = F.when(F.abs(v) < F.lit(4.5e15), r).otherwise(x)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+
+
 def r4(c: Column | str) -> Column:
     """Round half away from zero to 4 decimals as DOUBLE (result comparison)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 4).cast("double")
+    return round_half_away(c, 4)
 
 
 def safe_div(a: Column, b: Column) -> Column:

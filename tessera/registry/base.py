@@ -43,9 +43,8 @@ def R6(expr: str) -> str:
 
 
 def r6(c):
-    from pyspark.sql import functions as F
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 6)
+    from tessera.functions.numeric import round_half_away
+    return round_half_away(c, 6)
 
 
 def load_all() -> None:

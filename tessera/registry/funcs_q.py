@@ -30,8 +30,9 @@ FROM long
 """)
 def q_activations(spark, sf):
     z = F.col("z")
-    return z_long(spark, sf).select("vec_id", "p", *[r4(act.activate(z, n)).alias(n) for n in
-                                                      ("linear", "relu", "sigmoid", "tanh", "softplus")])
+    names = ("linear", "relu", "sigmoid", "tanh", "softplus")
+    vals = z_long(spark, sf).select("vec_id", "p", *[act.activate(z, n).alias(n) for n in names])
+    return vals.select("vec_id", "p", *[r4(n).alias(n) for n in names])
 
 
 @query("activation_derivatives", f"""
@@ -44,9 +45,11 @@ FROM long
 """)
 def q_activation_derivatives(spark, sf):
     z = F.col("z")
-    out = [r4(act.derivative(act.activate(z, n), z, n)).alias(f"d_{n}")
+    names = [f"d_{n}" for n in ("linear", "relu", "sigmoid", "tanh", "softplus")]
+    out = [act.derivative(act.activate(z, n), z, n).alias(f"d_{n}")
            for n in ("linear", "relu", "sigmoid", "tanh", "softplus")]
-    return z_long(spark, sf).select("vec_id", "p", *out)
+    vals = z_long(spark, sf).select("vec_id", "p", *out)
+    return vals.select("vec_id", "p", *[r4(n).alias(n) for n in names])
 
 
 def _softmax_sql(group: str) -> str:

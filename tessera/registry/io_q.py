@@ -62,8 +62,9 @@ def q_missing_normalise(spark, sf):
          .otherwise(F.col("value").cast("string")).alias("value_s"),
         F.when(F.col("event_id") % 11 == 0, F.element_at(toks, F.expr(f"CAST((event_id div 11) % {n} + 1 AS INT)")))
          .otherwise(F.col("event_type")).alias("type_s"))
-    return raw.select("event_id", normalise_string(F.col("type_s")).alias("event_type"),
-                      r4(parse_double(F.col("value_s"))).alias("value"))
+    out = raw.select("event_id", normalise_string(F.col("type_s")).alias("event_type"),
+                     parse_double(F.col("value_s")).alias("value"))
+    return out.select("event_id", "event_type", r4("value").alias("value"))
 
 
 @query("preview_rows", """

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import r4
 from tessera.operators.model import AvgPool2D, Conv2D, Dense, Flatten, Sequential
 from tessera.operators.optim import new_optimizer
 from tessera.operators.score import collect_gradient, gradient_sums
@@ -185,4 +186,4 @@ def q_early_stop_history(spark, sf):
     # one row per day: numbering the aggregated history is bounded
     hist = daily.select(F.row_number().over(Window.orderBy("day")).alias("epoch"), "v")
     out = early_stop_frame(hist, "epoch", "v", lower_is_better=True, min_delta=0.0, patience=2)
-    return out.select("stop_epoch", "best_epoch", F.round("best_value", 4).alias("best_value"))
+    return out.select("stop_epoch", "best_epoch", r4("best_value").alias("best_value"))
