@@ -139,6 +139,32 @@ def q_conv2d(spark, sf):
     return window_cells(predict(emb_rows(spark, sf), m), m.output_shape)
 
 
+def kconv2():
+    return np.array([[[[((o * 5 + c * 3 + i * 2 + j) % 7 - 3) / 10.0 for j in range(2)] for i in range(2)]
+                      for c in range(2)] for o in range(3)])
+
+
+@query("conv2d_multichannel", f"""
+WITH img AS (SELECT vec_id, CAST(unnest(range(0, 64)) AS BIGINT) AS p, unnest(CAST(embedding AS DOUBLE[])) AS v
+             FROM embeddings),
+px AS (SELECT vec_id, p // 32 AS ch, (p % 32) // 8 AS r, p % 8 AS c, v FROM img),
+k AS (SELECT o, ch, ki, kj, ((o * 5 + ch * 3 + ki * 2 + kj) % 7 - 3) / 10.0 AS w
+      FROM range(3) a(o), range(2) b(ch), range(2) c(ki), range(2) d(kj)),
+outp AS (SELECT vec_id, o, oi, oj FROM (SELECT DISTINCT vec_id FROM img), range(3) a(o), range(3) b(oi), range(5) c(oj)),
+z AS (SELECT outp.vec_id, outp.o, outp.oi, outp.oj, COALESCE(sum(k.w * px.v), 0) + (outp.o - 1) / 10.0 AS z
+      FROM outp JOIN k ON k.o = outp.o
+      LEFT JOIN px ON px.vec_id = outp.vec_id AND px.ch = k.ch AND px.r = outp.oi + k.ki
+                  AND px.c = outp.oj * 2 - 1 + k.kj
+      GROUP BY outp.vec_id, outp.o, outp.oi, outp.oj)
+SELECT vec_id, CAST(o AS BIGINT) AS d, CAST(oi AS BIGINT) AS i, CAST(oj AS BIGINT) AS j, {R('tanh(z)')} AS v FROM z
+""")
+def q_conv2d_multichannel(spark, sf):
+    """2 input channels summed, asymmetric stride (1, 2) and padding (0, 1)."""
+    m = Sequential((2, 4, 8), [Conv2D(3, (2, 2), (1, 2), (0, 1), "tanh")], seed=0,
+                   params=[{"w": kconv2(), "b": np.array([(o - 1) / 10.0 for o in range(3)])}])
+    return window_cells(predict(emb_rows(spark, sf), m), m.output_shape)
+
+
 def _pool_sql(agg: str) -> str:
     return f"""
 WITH {IMG_SQL},

@@ -285,3 +285,47 @@ SELECT o_orderkey, CAST(floor(({SHUF_SQL.format(seed=7)}) / 1000) AS BIGINT) AS
 def q_batch_gather(spark, sf):
     o = tbl(spark, sf, "orders", ["o_orderkey"])
     return split.with_batches(o, "o_orderkey", 7, 1000)
+
+
+@query("describe_numeric_missing", f"""
+WITH {EV_SQL}
+SELECT 'value' AS feature, count(value) AS count, {R('avg(value)')} AS mean, {R('stddev_samp(value)')} AS std,
+       {R('min(value)')} AS min, {R('max(value)')} AS max, {R('median(value)')} AS median
+FROM ev
+""")
+def q_describe_numeric_missing(spark, sf):
+    """Numeric profile and median of a column with missing values (skipped)."""
+    from tessera.operators import profile
+    ev = events_with_missing(spark, sf)
+    d = profile.describe_numeric(ev, ["value"])
+    med = profile.medians(ev, ["value"])["value"]
+    return d.select(F.col("column").alias("feature"), "count", r4("mean").alias("mean"), r4("std").alias("std"),
+                    r4("min").alias("min"), r4("max").alias("max"),
+                    r4(F.lit(med).cast("double")).alias("median"))
+
+
+@query("describe_string_missing", f"""
+WITH {EV_SQL},
+vc AS (SELECT event_type AS value, count(*) AS n FROM ev WHERE event_type IS NOT NULL GROUP BY event_type),
+r AS (SELECT *, row_number() OVER (ORDER BY n DESC, value ASC) AS rk FROM vc)
+SELECT 'event_type' AS feature, CAST(sum(n) AS BIGINT) AS count, CAST(count(*) AS BIGINT) AS n_unique,
+       max(CASE WHEN rk = 1 THEN value END) AS top, CAST(max(n) AS BIGINT) AS freq
+FROM r
+""")
+def q_describe_string_missing(spark, sf):
+    from tessera.operators import profile
+    d = profile.describe_string(events_with_missing(spark, sf), ["event_type"])
+    return d.select(F.col("column").alias("feature"), "count", F.col("unique").alias("n_unique"), "top", "freq")
+
+
+@query("label_encode_missing", f"""
+WITH {EV_SQL},
+d AS {_dict_sql('ev', 'event_type', 'event_id')}
+SELECT event_id, d.code AS code FROM ev JOIN d ON COALESCE(CAST(event_type AS VARCHAR), 'nan') = d.value
+""")
+def q_label_encode_missing(spark, sf):
+    """Missing strings are the ordinary category 'nan' in first-appearance order."""
+    ev = events_with_missing(spark, sf)
+    key = encode.category_key(F.col("event_type"))
+    d = encode.fit_dictionary(ev, key, "event_id")
+    return encode.label_encode(ev, key, d).select("event_id", F.col("code").cast("long").alias("code"))
