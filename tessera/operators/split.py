@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.positions import (before_key, contiguous_positions, kth_key, md5_bucket,
-                                     order_hash)
+                                     order_hash, prefix_digits)
 
 
 def round_half_away(x: float) -> int:
@@ -27,11 +27,13 @@ def with_order_hash(df: DataFrame, key: str, seed: int, h: str = "_h") -> DataFr
 
 
 def shuffle_positions(df: DataFrame, key: str, seed: int, pos: str = "pos",
-                      ordered_output: bool = False) -> DataFrame:
+                      ordered_output: bool = False, n: int | None = None) -> DataFrame:
     """Append the 0-based position of each row in the seeded permutation
-    (``ordered_output``: rows also come out in permutation order)."""
+    (``ordered_output``: rows also come out in permutation order; ``n``, when
+    known, sizes the md5 buckets for very large tables)."""
     h = with_order_hash(df, key, seed)
-    return contiguous_positions(h, ["_h", key], md5_bucket("_h"), pos, ordered_output).drop("_h")
+    bucket = md5_bucket("_h", prefix_digits(n))
+    return contiguous_positions(h, ["_h", key], bucket, pos, ordered_output).drop("_h")
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float, seed: int,
@@ -68,10 +70,10 @@ def split_labels(df: DataFrame, key: str, test_size: float, seed: int,
 
 
 def with_batches(df: DataFrame, key: str, seed: int, batch_size: int,
-                 batch: str = "batch", ordered_output: bool = False) -> DataFrame:
+                 batch: str = "batch", ordered_output: bool = False, n: int | None = None) -> DataFrame:
     """Batch number ``floor(pos / batch_size)`` of every row in the seeded
     permutation (mini-batch ``b`` = rows ``order[b*size : (b+1)*size)``)."""
-    p = shuffle_positions(df, key, seed, "_pos", ordered_output)
+    p = shuffle_positions(df, key, seed, "_pos", ordered_output, n)
     return p.withColumn(batch, F.floor(F.col("_pos") / F.lit(batch_size)).cast("long")).drop("_pos")
 
 

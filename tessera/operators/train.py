@@ -173,7 +173,7 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
             # each task writes whole coarse buckets, rows sorted by position
             # inside them: row groups cover narrow batch ranges, so a step
             # reading ``batch == b`` prunes the others by their statistics
-            batched = with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size)
+            batched = with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size, n=n)
             bschema = batched.schema
             batched.write.mode("overwrite").parquet(bpath)
             bt = spark.read.schema(bschema).parquet(bpath)

@@ -25,10 +25,6 @@ def order_hash(seed: int, key: str = "row_id"):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _prefix_bucket(h, level: int):
-    return F.conv(F.substring(h, level * HEX_DIGITS + 1, HEX_DIGITS), 16, 10).cast("int")
-
-
 def kth_key(df: DataFrame, h: str, key: str, k: int):
     """The ``(h, key)`` pair of the k-th row (0-based) in ``(h, key)`` order.
 
@@ -113,8 +109,18 @@ def contiguous_positions(df: DataFrame, order_cols: list[str], bucket_expr,
             .drop("_fine", "_bucket", "_offset"))
 
 
-def md5_bucket(h: str):
-    return _prefix_bucket(F.col(h), 0)
+def md5_bucket(h: str, digits: int = HEX_DIGITS):
+    """Integer value of the first ``digits`` hex digits of an md5 column."""
+    return F.conv(F.substring(F.col(h), 1, digits), 16, 10).cast("int")
+
+
+def prefix_digits(n: int | None) -> int:
+    """Hex digits of the fine md5 bucket: 4 (65,536 buckets) unless the row
+    count is known to exceed 65,536 x ``TARGET_BUCKET_ROWS``, then 5 (1M
+    buckets), so that one fine bucket never holds more than ~2M rows."""
+    if n is not None and n > (16 ** HEX_DIGITS) * TARGET_BUCKET_ROWS:
+        return HEX_DIGITS + 1
+    return HEX_DIGITS
 
 
 def range_bucket(df: DataFrame, key: str, buckets: int = 1024):

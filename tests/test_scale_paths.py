@@ -83,3 +83,13 @@ def test_large_gram_uses_numpy_partials(spark):
     df = spark.createDataFrame([(x[i].tolist(), y[i].tolist()) for i in range(50)],
                                "x array<double>, y array<double>").repartition(3)
     assert np.allclose(la.rows_gram(df, 70, 60), x.T @ y)
+
+
+def test_five_digit_md5_buckets_keep_positions(spark, monkeypatch):
+    import tessera.operators.split as sp
+    df = spark.range(300).withColumnRenamed("id", "row_id")
+    base = {r["row_id"]: r["pos"] for r in sp.shuffle_positions(df, "row_id", 5).collect()}
+    monkeypatch.setattr(pos, "TARGET_BUCKET_ROWS", 0)       # any known count selects 5 digits
+    assert pos.prefix_digits(300) == 5
+    five = {r["row_id"]: r["pos"] for r in sp.shuffle_positions(df, "row_id", 5, n=300).collect()}
+    assert five == base
