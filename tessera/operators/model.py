@@ -425,30 +425,39 @@ def backward(model: Sequential, params, caches, delta, lookahead=None):
 
 
 # ----------------------------------------------------------- losses (sums)
-def loss_sum(loss: str, out: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """(sum, denominator) so that partition sums add up exactly."""
+def loss_sum(loss: str, out: np.ndarray, y: np.ndarray, rank: int = 1) -> tuple[float, float]:
+    """(sum, denominator) so that partition sums add up exactly. ``rank`` is
+    the rank of the model output: binary cross-entropy uses output 0 of a
+    vector output and every element of a tensor output."""
     n, k = y.shape
     if loss == "mse":
         return float(((out - y) ** 2).sum()), float(n * k)
     if loss == "mae":
         return float(np.abs(out - y).sum()), float(n * k)
     if loss == "binary_crossentropy":
-        p = np.clip(out[:, 0], 1e-8, 1 - 1e-8)
-        t = y[:, 0]
-        return float((-(t * np.log(p) + (1 - t) * np.log(1 - p))).sum()), float(n)
+        p, t = (out, y) if rank == 3 else (out[:, :1], y[:, :1])
+        p = np.clip(p, 1e-8, 1 - 1e-8)
+        return float((-(t * np.log(p) + (1 - t) * np.log(1 - p))).sum()), float(p.size)
     if loss == "categorical_crossentropy":
+        if rank == 3:
+            raise ValueError("categorical_crossentropy is not defined for tensor outputs")
         return float(-(np.log(out + 1e-10) * (y == 1.0)).sum()), float(n)
     raise ValueError(f"unknown loss {loss!r}")
 
 
-def metric_sum(metric: str, out: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def metric_sum(metric: str, out: np.ndarray, y: np.ndarray, rank: int = 1) -> tuple[float, float]:
     n, k = y.shape
     if metric == "accuracy":
+        if rank == 3:
+            raise ValueError("accuracy is not defined for tensor outputs")
         metric = "binary_accuracy" if k == 1 else "categorical_accuracy"
     if metric in ("mse", "mae"):
         return loss_sum(metric, out, y)
     if metric == "binary_accuracy":
-        return float(((out[:, 0] > 0.5).astype(float) == y[:, 0]).sum()), float(n)
+        p, t = (out, y) if rank == 3 else (out[:, :1], y[:, :1])
+        return float(((p > 0.5).astype(float) == t).sum()), float(p.size)
     if metric == "categorical_accuracy":
+        if rank == 3:
+            raise ValueError("categorical_accuracy is not defined for tensor outputs")
         return float(y[np.arange(n), out.argmax(axis=1)].sum()), float(n)
     raise ValueError(f"unknown metric {metric!r}")

@@ -96,9 +96,10 @@ def gradient_sums(df: DataFrame, model: Sequential, loss: str, metric: str | Non
             flat = np.concatenate([g[k].ravel() for g in grads for k in ("w", "b") if k in g])
             acc = flat if acc is None else acc + flat
             n += len(xs)
-            lsum += loss_sum(ls, out, ys)[0]
+            rank = len(m.output_shape)
+            lsum += loss_sum(ls, out, ys, rank)[0]
             if mt:
-                msum += metric_sum(mt, out, ys)[0]
+                msum += metric_sum(mt, out, ys, rank)[0]
         if acc is None:
             return
         idx = np.concatenate([np.arange(len(acc), dtype=np.int64),

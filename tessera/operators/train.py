@@ -123,10 +123,11 @@ def evaluate(model: Sequential, data: Dataset, loss: str, metric: str) -> DataFr
     """Forward pass over the whole table, loss and metric in one aggregate."""
     check_loss_pair(model, loss)
     outputs = int(np.prod(model.output_shape))
-    M.check_output_rank(len(model.output_shape), loss)
-    M.check_output_rank(len(model.output_shape), metric)
+    rank = len(model.output_shape)
+    M.check_output_rank(rank, loss)
+    M.check_output_rank(rank, metric)
     pred = predict(data.df, model, key="row_id", x="x", keep=["y"])
-    return M.evaluate_predictions(pred, loss, metric, outputs)
+    return M.evaluate_predictions(pred, loss, metric, outputs, rank=rank)
 
 
 def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metric: str,
@@ -136,6 +137,8 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
     """Synchronous mini-batch training; returns the model and a history
     DataFrame (epoch, loss, metric, val_loss, val_metric)."""
     check_loss_pair(model, loss)
+    M.check_output_rank(len(model.output_shape), loss)
+    M.check_output_rank(len(model.output_shape), metric)
     spark = data.df.sparkSession
     train_df = data.df.select("row_id", "x", "y")
     n = None
@@ -191,8 +194,10 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
             for bc in bcs:
                 bc.unpersist()
             outputs = int(np.prod(model.output_shape))
-            losses.append(lsum / (cnt * outputs if loss == "mse" else cnt))
-            mets.append(msum / (cnt * outputs if metric in ("mse", "mae") else cnt))
+            per_element = len(model.output_shape) == 3
+            losses.append(lsum / (cnt * outputs if loss == "mse" or per_element else cnt))
+            mets.append(msum / (cnt * outputs if metric in ("mse", "mae") or
+                                (per_element and metric == "binary_accuracy") else cnt))
             w = optimizer.step(w, g / cnt)
         model.params = model.unflat(w)
         row = {"epoch": epoch, "loss": float(np.mean(losses)), "metric": float(np.mean(mets)),

@@ -11,7 +11,7 @@ from tessera.functions.missing import parse_double
 from tessera.operators import encode, linalg as la, metrics as M, split
 from tessera.operators.dataset import Dataset, to_dataset
 from tessera.operators.impute import fit_imputer
-from tessera.operators.model import Dense, Sequential
+from tessera.operators.model import Conv2D, Dense, Sequential
 from tessera.operators.optim import new_optimizer
 from tessera.operators.score import collect_gradient, gradient_sums
 from tessera.operators.train import EarlyStopping, fit
@@ -134,7 +134,7 @@ def test_d43_shape_checks_before_jobs(spark):
     with pytest.raises(ValueError):
         la.rows_matmul_small(a, np.ones((3, 2)), 2)
     with pytest.raises(ValueError):
-        Sequential((4,), [Dense(2), __import__("tessera.operators.model", fromlist=["Conv2D"]).Conv2D(1, (2, 2))])
+        Sequential((4,), [Dense(2), Conv2D(1, (2, 2))])
 
 
 def test_compile_rejects_bad_pairs():

@@ -171,3 +171,34 @@ def test_approximate_median_opt_in(spark):
     vals = sorted(r[0] for r in li.select("l_extendedprice").collect())
     lo, hi = vals[int(len(vals) * 0.49)], vals[int(len(vals) * 0.51)]
     assert approx["l_quantity"] == exact["l_quantity"] and lo <= approx["l_extendedprice"] <= hi
+
+
+def test_tensor_output_bce_gradient_and_metrics(spark):
+    """Conv output with sigmoid: binary cross-entropy and accuracy over every element."""
+    from pyspark.sql import functions as F
+    from tessera.operators import metrics as M
+    rng = np.random.default_rng(9)
+    model = Sequential((1, 5, 5), [Conv2D(2, (3, 3), (1, 1), (1, 1), "sigmoid")], seed=8)
+    x = rng.normal(size=(7, 25))
+    y = (rng.random(size=(7, 50)) > 0.5).astype(float)
+    df = spark.createDataFrame([(x[i].tolist(), y[i].tolist()) for i in range(7)],
+                               "x array<double>, y array<double>").repartition(2)
+    g, n, lsum, msum = collect_gradient(gradient_sums(df, model, "binary_crossentropy", "binary_accuracy"),
+                                        len(model.flat()))
+    out = forward(model, model.params, x)
+    p = np.clip(out, 1e-8, 1 - 1e-8)
+    assert lsum == pytest.approx(float((-(y * np.log(p) + (1 - y) * np.log(1 - p))).sum()))
+    assert msum == pytest.approx(float(((out > 0.5) == y).sum()))
+    w0, eps = model.flat(), 1e-6
+    def L(w):
+        o = np.clip(forward(model, model.unflat(w), x), 1e-12, 1 - 1e-12)
+        return (-(y * np.log(o) + (1 - y) * np.log(1 - o))).sum() / len(x)
+    num = np.array([(L(w0 + e) - L(w0 - e)) / (2 * eps) for e in np.eye(len(w0)) * eps])
+    assert np.allclose(g / n, num, atol=1e-6, rtol=1e-4)
+    pred = spark.createDataFrame([(out[i].tolist(), y[i].tolist()) for i in range(7)],
+                                 "p array<double>, y array<double>")
+    r = pred.agg(M.loss_expr("binary_crossentropy", F.col("p"), F.col("y"), 3).alias("l"),
+                 M.metric_expr("binary_accuracy", F.col("p"), F.col("y"), 50, 3).alias("m")).collect()[0]
+    assert r["l"] == pytest.approx(lsum / y.size) and r["m"] == pytest.approx(msum / y.size)
+    with pytest.raises(ValueError):
+        M.metric_expr("accuracy", F.col("p"), F.col("y"), 50, 3)
