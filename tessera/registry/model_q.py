@@ -273,6 +273,34 @@ SELECT CAST(layer AS BIGINT) AS layer, param, CAST(idx AS BIGINT) AS idx, {R6('g
 """
 
 
+@query("evaluate_conv_tensor", f"""
+WITH {IMG_SQL},
+k AS (SELECT o, ki, kj, ((o * 5 + ki * 3 + kj * 2) % 7 - 3) / 10.0 AS w FROM range(2) a(o), range(3) b(ki), range(3) c(kj)),
+outp AS (SELECT vec_id, o, oi, oj FROM (SELECT DISTINCT vec_id FROM img), range(2) a(o), range(8) b(oi), range(8) c(oj)),
+z AS (SELECT outp.vec_id, outp.o, outp.oi, outp.oj, COALESCE(sum(k.w * px.v), 0) + (outp.o - 0.5) / 10.0 AS z
+      FROM outp JOIN k ON k.o = outp.o
+      LEFT JOIN px ON px.vec_id = outp.vec_id AND px.r = outp.oi - 1 + k.ki AND px.c = outp.oj - 1 + k.kj
+      GROUP BY outp.vec_id, outp.o, outp.oi, outp.oj),
+pz AS (SELECT least(greatest(1 / (1 + exp(-z.z)), 1e-8), 1 - 1e-8) AS q, 1 / (1 + exp(-z.z)) AS p,
+              CASE WHEN px.v > 0 THEN 1.0 ELSE 0.0 END AS y
+       FROM z JOIN px ON px.vec_id = z.vec_id AND px.r = z.oi AND px.c = z.oj)
+SELECT {R('avg(-(y * ln(q) + (1 - y) * ln(1 - q)))')} AS loss,
+       {R('avg(CASE WHEN (CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END) = y THEN 1.0 ELSE 0.0 END)')} AS metric
+FROM pz
+""")
+def q_evaluate_conv_tensor(spark, sf):
+    """Tensor output (2 x 8 x 8, sigmoid): binary cross-entropy and binary
+    accuracy over every element; target = pixel > 0, for both channels."""
+    m = Sequential((1, 8, 8), [Conv2D(2, (3, 3), (1, 1), (1, 1), "sigmoid")], seed=0,
+                   params=[{"w": kconv(), "b": bconv()}])
+    rows = emb_rows(spark, sf).select("row_id", "x")
+    flag = F.transform("x", lambda v: (v > 0).cast("double"))
+    data = rows.withColumn("_f", flag).select("row_id", "x", F.concat("_f", "_f").alias("y"))
+    r = evaluate(m, Dataset(data, [str(i) for i in range(64)], (1, 8, 8), None),
+                 "binary_crossentropy", "binary_accuracy")
+    return r.select(r4("loss").alias("loss"), r4("metric").alias("metric"))
+
+
 @query("score_cnn", SCORE_CNN_SQL)
 def q_score_cnn(spark, sf):
     return cells(predict(emb_rows(spark, sf), cnn()))
