@@ -37,7 +37,11 @@ class Imputer:
 def fit_imputer(df: DataFrame, numeric: list[str] = (), strategy: str = "mean",
                 fill_value: float | dict | None = None, strings: list[str] = (),
                 string_strategy: str = "most_frequent",
-                string_fill: str | dict | None = None) -> Imputer:
+                string_fill: str | dict | None = None, approx: bool = False,
+                accuracy: int = 10_000) -> Imputer:
+    """Fit fill values: mean / median (exact by default; ``approx=True`` uses
+    one ``percentile_approx`` aggregate) / constant for numeric columns,
+    most frequent / constant for string columns."""
     numeric, strings = list(numeric), list(strings)
     if strategy not in NUMERIC_STRATEGIES:
         raise ValueError(f"unknown imputer strategy {strategy!r}")
@@ -48,6 +52,10 @@ def fit_imputer(df: DataFrame, numeric: list[str] = (), strategy: str = "mean",
         if strategy == "mean":
             r = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in numeric]).collect()[0]
             fill.update({c: r[c] for c in numeric})
+        elif strategy == "median" and approx:
+            r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c)
+                         for c in numeric]).collect()[0]
+            fill.update({c: (None if r[c] is None else float(r[c])) for c in numeric})
         elif strategy == "median":
             fill.update(exact_medians(df, numeric, column_stats(df, numeric)))
         else:

@@ -153,3 +153,9 @@ def test_d42_input_shape_checked(spark):
     m = Sequential((1, 3, 3), [Conv2D(1, (2, 2))], seed=1)
     with pytest.raises(ValueError):
         forward(m, m.params, np.ones((2, 8)))
+
+
+def test_imputer_approximate_median_opt_in(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 100]] + [(None,)], "x double")
+    assert fit_imputer(df, ["x"], "median").fill["x"] == 3.0
+    assert fit_imputer(df, ["x"], "median", approx=True).fill["x"] == 3.0
