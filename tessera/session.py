@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +86,25 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python
+    workers can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tessera-ship-")      # read by the driver only
+    target = os.path.join(folder, "tessera_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, names in sorted(os.walk(root)):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    p = os.path.join(d, n)
+                    z.write(p, os.path.relpath(p, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._tessera_shipped = True
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
 
@@ -93,4 +114,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["get_session", "checkpoint_dir", "scratch_path", "remove_scratch",
-           "default_parallelism", "local_path", "BASE_CONF"]
+           "ship_package", "default_parallelism", "local_path", "BASE_CONF"]
