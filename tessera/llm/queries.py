@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import packing, records, sharding, token_counts
+from tessera.llm import licences, mixing, packing, records, rules, sharding, token_counts
 from tessera.llm.common import table
 from tessera.session import scratch_path
 
@@ -24,6 +25,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+@query
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"), [1.0] * 8)
@@ -36,9 +42,24 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   max_tokens=1024, max_segments=32, max_loss=1024)
 
 
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.assign(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", *[F.col(f"mix_{c}").alias(c) for c in ("size", "source_size", "target", "taken")],
+                        "mix_shard_first", "mix_shard_again")
+
+
 @query
 def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "records")
     files = records.write_records(table(spark, sf_dir, "documents", "doc_id", "text"),
                                   public_tokenizers.path("byte_bpe_50k.json"), folder, end_id=2)
     return records.read_records(spark, files, folder)
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = rules.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return rules.apply(docs, model).select("doc_id", rules.held_out(F.col("doc_id")).alias("held_out"),
+                                           "score", "predicted")
