@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import licences, mixing, packing, records, rules, sharding, token_counts
+from tessera.llm import licences, mixing, packing, records, rules, sharding, token_counts, topk, vector_dedup
 from tessera.llm.common import table
 from tessera.session import scratch_path
 
@@ -30,6 +30,16 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), cosine=0.95)
+
+
+@query
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=20, scale=64, every=20)
+
+
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"), [1.0] * 8)
