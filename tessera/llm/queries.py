@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import licences, mixing, packing, records, rules, sharding, token_counts, topk, vector_dedup
+from tessera.llm import licences, mixing, packing, records, rules, sharding, shingle_join, token_counts, topk
+from tessera.llm import vector_dedup
 from tessera.llm.common import table
 from tessera.session import scratch_path
 
@@ -25,6 +26,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+@query
+def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join(table(spark, sf_dir, "documents", "doc_id", "text"), percent=75, length=5)
+
+
 @query
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
