@@ -39,3 +39,8 @@ def _nan_to_null(c: Column) -> Column:
 def nan_to_null(c: Column) -> Column:
     """DOUBLE NaN -> NULL."""
     return _nan_to_null(c)
+
+
+def number(c: Column | str) -> Column:
+    """A numeric column as DOUBLE with NaN as missing (NULL)."""
+    return _nan_to_null((F.col(c) if isinstance(c, str) else c).cast("double"))

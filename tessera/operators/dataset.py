@@ -52,7 +52,7 @@ def to_dataset(df: DataFrame, target: str | int, numeric: list[str], strings: li
     cur = df
     tkey = None
     if task == "classification":
-        tkey = numeric_key(F.col(target)) if target in numeric else category_key(F.col(target))
+        tkey = numeric_key(F.col(target), df.schema[target].dataType.simpleString()) if target in numeric else category_key(F.col(target))
     wanted = {c: category_key(F.col(c)) for c in x_str}
     if tkey is not None:
         wanted["_target"] = tkey
@@ -101,8 +101,8 @@ def to_image_dataset(df: DataFrame, pixels: str | list[str], label: str, shape:
     bad = src.where(F.size("_px") != size).limit(1).count()
     if bad:
         raise ValueError(f"image rows must have {size} pixels")
-    dic = fit_dictionary(df, numeric_key(F.col(label)), key)
-    enc = label_encode(src, numeric_key(F.col(label)), dic, "_code")
+    dic = fit_dictionary(df, numeric_key(F.col(label), df.schema[label].dataType.simpleString()), key)
+    enc = label_encode(src, numeric_key(F.col(label), df.schema[label].dataType.simpleString()), dic, "_code")
     out = enc.select(F.col(key).alias("row_id"), reorder_pixels(F.col("_px"), c, h, w).alias("x"),
                      one_hot(F.col("_code"), dic.size).alias("y"))
     return Dataset(out, [str(i) for i in range(size)], (c, h, w), dic.size, {label: dic})

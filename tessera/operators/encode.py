@@ -39,9 +39,16 @@ def category_key(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("nan"))
 
 
-def numeric_key(c: Column) -> Column:
-    """Exact numeric value as key (no 3-digit truncation)."""
-    return F.coalesce(c.cast("double").cast("string"), F.lit("nan"))
+def numeric_key(c: Column, kind: str = "double") -> Column:
+    """Exact numeric value as key. ``kind`` is the column's type: integers and
+    decimals are keyed by their own value (no rounding through DOUBLE), -0.0 is
+    0.0, and NaN is missing."""
+    if kind in ("tinyint", "smallint", "int", "bigint") or kind.startswith("decimal"):
+        key = c.cast("string")
+    else:
+        x = c.cast("double")
+        key = F.when(x == 0, F.lit("0.0")).when(~F.isnan(x), x.cast("string"))
+    return F.coalesce(key, F.lit("nan"))
 
 
 def fit_dictionaries(df: DataFrame, values: dict[str, Column], key: str = "row_id") -> dict[str, Dictionary]:

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.missing import number
 from tessera.operators.profile import modes
 from tessera.plans.quantile import column_stats, exact_medians
 
@@ -26,11 +27,14 @@ class Imputer:
     fill: dict[str, object] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Replace NULLs by the fitted values; a NULL fill leaves the column."""
+        """Replace NULLs and NaNs by the fitted values; a NULL fill leaves the column."""
         out = []
-        for c in df.columns:
-            v = self.fill.get(c)
-            out.append(F.coalesce(F.col(c), F.lit(v)).alias(c) if v is not None else F.col(c))
+        for f in df.schema.fields:
+            v = self.fill.get(f.name)
+            c = F.col(f.name)
+            if f.dataType.simpleString() in ("float", "double"):
+                c = F.when(~F.isnan(c), c)
+            out.append(F.coalesce(c, F.lit(v)).alias(f.name) if v is not None else F.col(f.name))
         return df.select(*out)
 
 
@@ -50,10 +54,10 @@ def fit_imputer(df: DataFrame, numeric: list[str] = (), strategy: str = "mean",
     fill: dict[str, object] = {}
     if numeric:
         if strategy == "mean":
-            r = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in numeric]).collect()[0]
+            r = df.agg(*[F.avg(number(c)).alias(c) for c in numeric]).collect()[0]
             fill.update({c: r[c] for c in numeric})
         elif strategy == "median" and approx:
-            r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c)
+            r = df.agg(*[F.percentile_approx(number(c), 0.5, accuracy).alias(c)
                          for c in numeric]).collect()[0]
             fill.update({c: (None if r[c] is None else float(r[c])) for c in numeric})
         elif strategy == "median":

@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import double_array_lit
 
-# Right-hand matrices up to this many cells are broadcast.
+# Cells of a right-hand matrix in one broadcast; a larger one goes in several.
 SMALL_CELLS = 1_000_000
 # Up to this many cells the product stays a JVM expression; above it the
 # per-element lambdas (interpreted) cost more than a numpy kernel per batch.
-EXPR_CELLS = 4096
+# Both follow the same rules: a NULL element makes the products of its row NULL,
+# sums over rows (gram) skip NULL products, and a row of another width raises.
+EXPR_CELLS = 64
 
 
 # ---------------------------------------------------------------- row form
@@ -43,8 +45,15 @@ def rows_elementwise(a: DataFrame, b: DataFrame, keys: Sequence[str], op: str,
     fns = {"add": lambda p, q: p + q, "sub": lambda p, q: p - q, "mul": lambda p, q: p * q}
     if op not in fns:
         raise ValueError(f"unknown element-wise op {op!r}")
-    j = a.select(*keys, F.col(x).alias("_a")).join(b.select(*keys, F.col(x).alias("_b")), list(keys))
-    return j.select(*keys, F.zip_with("_a", "_b", fns[op]).alias(x))
+    j = a.select(*keys, F.col(x).alias("_a")).join(b.select(*keys, F.col(x).alias("_b")), list(keys), "full_outer")
+    one = F.zip_with(of_width(F.col("_a"), width_a), of_width(F.col("_b"), width_b), fns[op])
+    return j.select(*keys, one.alias(x))
+
+
+def of_width(x: Column, width: int) -> Column:
+    """The array, if it is there and has the declared width; else the job fails."""
+    return F.when(F.size(x) == width, x).otherwise(F.raise_error(F.lit(
+        "shape mismatch: a row is missing on one side or has another width")).cast("array<double>"))
 
 
 def rows_scale(a: DataFrame, s: float, x: str = "x") -> DataFrame:
@@ -73,35 +82,62 @@ def matvec_expr(x: Column, w: np.ndarray) -> Column:
 def rows_matmul_small(a: DataFrame, w: np.ndarray, width_a: int, x: str = "x") -> DataFrame:
     """Tall row-form A (n x k) times small W (k x m): narrow, shuffle-free.
 
-    Small W: one JVM expression per output column. Larger W (up to
-    ``SMALL_CELLS``, a checked broadcast): ``mapInArrow`` with ``x @ W`` per
-    Arrow batch."""
+    Small W: one JVM expression per output column. Larger W: ``mapInArrow`` with
+    ``x @ W`` per Arrow batch, W broadcast in blocks of ``SMALL_CELLS`` cells."""
     if width_a != w.shape[0]:
         raise ValueError(f"shape mismatch: A has {width_a} columns, W has {w.shape[0]} rows")
     if w.size <= EXPR_CELLS:
-        return a.withColumn(x, matvec_expr(F.col(x), w))
-    if w.size > SMALL_CELLS:
-        raise ValueError("right-hand matrix too large to broadcast; use cells_matmul")
+        checked = F.when(F.col(x).isNull() | (F.size(x) == width_a), F.col(x)).otherwise(
+            F.raise_error(F.lit("shape mismatch: a row has another width")).cast("array<double>"))
+        return a.withColumn(x, checked).withColumn(x, matvec_expr(F.col(x), w))
     import pyarrow as pa
-    from tessera.operators.score import list_to_np, np_to_list
-    bc = a.sparkSession.sparkContext.broadcast(np.asarray(w, dtype=float))
+    step = max(1, SMALL_CELLS // max(1, w.shape[0]))
+    parts = [a.sparkSession.sparkContext.broadcast(np.asarray(w[:, k:k + step], dtype=float))
+             for k in range(0, w.shape[1], step)]
+    m = w.shape[1]
     names = a.columns
     schema = a.select(*[c for c in names if c != x]).schema
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     out_schema = (out_schema + ", " if out_schema else "") + f"`{x}` array<double>"
 
     def run(batches):
-        wm = bc.value
         for b in batches:
-            xs = list_to_np(b.column(x))
-            ys = xs @ wm if len(xs) else np.zeros((0, wm.shape[1]))
-            cols = [b.column(f.name) for f in schema.fields] + [np_to_list(ys)]
+            xs, unknown = rows_with_nulls(b.column(x), width_a)
+            ys = np.hstack([xs @ p.value for p in parts]) if len(xs) else np.zeros((0, m))
+            values = pa.array(ys.ravel(), mask=np.repeat(unknown, m))
+            offsets = pa.array(np.arange(0, len(xs) * m + 1, m, dtype=np.int32))
+            cols = [b.column(f.name) for f in schema.fields] + [pa.ListArray.from_arrays(offsets, values)]
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields] + [x])
 
     src = a.select(*[c for c in names if c != x], F.col(x).cast("array<double>").alias(x))
     return src.mapInArrow(run, out_schema)
 
 
+def rows_with_nulls(col, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Arrow list<double> -> (n, width) array and whether a row holds a NULL
+    (NULLs, and rows that are NULL themselves, are 0 in the array)."""
+    elements, unknown = elements_with_nulls(col, width)
+    return elements, unknown.any(axis=1)
+
+
+def elements_with_nulls(col, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Arrow list<double> -> (n, width) array and the mask of its NULLs."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    out, unknown = np.zeros((n, width)), np.ones((n, width), dtype=bool)
+    there = ~col.is_null().to_numpy(zero_copy_only=False) if n else np.zeros(0, dtype=bool)
+    sizes = pc.fill_null(pc.list_value_length(col), width).to_numpy(zero_copy_only=False) if n else np.zeros(0)
+    if (sizes != width).any():
+        raise ValueError("shape mismatch: a row has another width")
+    flat = col.flatten()
+    out[there] = pc.fill_null(flat, 0.0).to_numpy(zero_copy_only=False).reshape(-1, width)
+    unknown[there] = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return out, unknown
+
+
 def gram_cells(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str = "y") -> DataFrame:
     """AᵀB of two tall row-form matrices stored on the same rows (columns
     ``x`` and ``y``) as cells ``(i, j, v)``.
@@ -112,7 +148,10 @@ def gram_cells(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str =
     per cell; a grouped sum (output the size of AᵀB) finishes it."""
     if width_a * width_b > EXPR_CELLS:
         return _gram_cells_numpy(df, width_a, width_b, x, y)
-    aggs = [F.sum(F.element_at(F.col(x), i + 1) * F.element_at(F.col(y), j + 1)).alias(f"g{i}_{j}")
+    wide = F.lit("shape mismatch: a row has another width")
+    fits = (F.coalesce(F.size(x) == width_a, F.lit(True)) & F.coalesce(F.size(y) == width_b, F.lit(True)))
+    df = df.select(F.when(fits, F.col(x)).otherwise(F.raise_error(wide).cast("array<double>")).alias(x), y)
+    aggs = [F.sum(F.get(F.col(x), F.lit(i)) * F.get(F.col(y), F.lit(j))).alias(f"g{i}_{j}")
             for i in range(width_a) for j in range(width_b)]
     one = df.agg(*aggs)
     cells = [F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j"),
@@ -123,23 +162,23 @@ def gram_cells(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str =
 
 def _gram_cells_numpy(df: DataFrame, wa: int, wb: int, x: str, y: str) -> DataFrame:
     import pyarrow as pa
-    from tessera.operators.score import list_to_np
     src = df.select(F.col(x).cast("array<double>").alias("x"), F.col(y).cast("array<double>").alias("y"))
 
     def run(batches):
-        acc = None
+        total, known = np.zeros((wa, wb)), np.zeros((wa, wb), dtype=np.int64)
         for b in batches:
-            xs, ys = list_to_np(b.column("x")), list_to_np(b.column("y"))
-            if len(xs) == 0:
+            (xs, nx), (ys, ny) = elements_with_nulls(b.column("x"), wa), elements_with_nulls(b.column("y"), wb)
+            if not nx.any() and not ny.any():
+                total += xs.T @ ys
+                known += len(xs)
                 continue
-            if xs.shape[1] != wa or ys.shape[1] != wb:
-                raise ValueError("row width does not match the declared shape")
-            part = xs.T @ ys
-            acc = part if acc is None else acc + part
-        if acc is not None:
-            ii, jj = np.divmod(np.arange(wa * wb, dtype=np.int64), wb)
-            yield pa.RecordBatch.from_arrays([pa.array(ii), pa.array(jj), pa.array(acc.ravel())],
-                                             names=["i", "j", "v"])
+            for i in range(wa):                          # a NULL product adds nothing, not 0 times infinity
+                both = ~nx[:, i:i + 1] & ~ny
+                total[i] += np.where(both, xs[:, i:i + 1] * ys, 0.0).sum(axis=0)
+                known[i] += both.sum(axis=0)
+        ii, jj = np.divmod(np.arange(wa * wb, dtype=np.int64), wb)
+        yield pa.RecordBatch.from_arrays([pa.array(ii), pa.array(jj), pa.array(total.ravel(), mask=known.ravel() == 0)],
+                                         names=["i", "j", "v"])
 
     return src.mapInArrow(run, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
 
@@ -174,9 +213,15 @@ def fill_cells(spark: SparkSession, rows: int, cols: int, value: float = 0.0,
 
 
 def cells_elementwise(a: DataFrame, b: DataFrame, op: str, keys: Sequence[str] = ("i", "j")) -> DataFrame:
+    """Cells of equal shape; a cell that only one side has fails the job."""
     fns = {"add": lambda p, q: p + q, "sub": lambda p, q: p - q, "mul": lambda p, q: p * q}
-    j = a.withColumnRenamed("v", "_a").join(b.withColumnRenamed("v", "_b"), list(keys))
-    return j.select(*keys, fns[op](F.col("_a"), F.col("_b")).alias("v"))
+    if op not in fns:
+        raise ValueError(f"unknown element-wise op {op!r}")
+    j = (a.select(*keys, F.col("v").alias("_a"), F.lit(True).alias("_in_a"))
+         .join(b.select(*keys, F.col("v").alias("_b"), F.lit(True).alias("_in_b")), list(keys), "full_outer"))
+    lost = F.raise_error(F.lit("shape mismatch: a cell is missing on one side")).cast("double")
+    return j.select(*keys, F.when(F.col("_in_a").isNull() | F.col("_in_b").isNull(), lost)
+                    .otherwise(fns[op](F.col("_a"), F.col("_b"))).alias("v"))
 
 
 def cells_scale(a: DataFrame, s: float) -> DataFrame:

@@ -10,18 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.missing import number
 from tessera.plans.quantile import column_stats, exact_medians
 
 
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count (non-NULL), mean, sample std (n-1), true min and max per column.
+    """count (neither NULL nor NaN), mean, sample std (n-1), true min and max per column.
 
     One ``agg`` (partial + final hash aggregate); the single result row is
     unpivoted with ``stack`` semantics.
     """
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
                  F.max(x).alias(f"hi{i}")]
@@ -87,21 +88,15 @@ def mean_median(df: DataFrame, cols: list[str], approx: bool = False,
     if approx:
         aggs = []
         for i, c in enumerate(cols):
-            x = F.col(c).cast("double")
+            x = number(c)
             aggs += [F.avg(x).alias(f"m{i}"), F.percentile_approx(x, 0.5, accuracy).alias(f"q{i}")]
         wide = df.agg(*aggs)
         rows = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("mean"),
                          F.col(f"q{i}").cast("double").alias("median")) for i, c in enumerate(cols)]
         return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.avg(x).alias(f"m{i}")]
-    r = df.agg(*aggs).collect()[0]
-    stats = {c: (r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(cols)}
+    stats = column_stats(df, cols)
     med = exact_medians(df, cols, stats)
-    rows = [(c, r[f"m{i}"], med[c]) for i, c in enumerate(cols)]
+    rows = [(c, stats[c].mean, med[c]) for c in cols]
     return spark.createDataFrame(rows, "column string, mean double, median double")
 
 
@@ -111,7 +106,7 @@ def medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
 
 def squared_error(df: DataFrame, pred: str, true: str) -> DataFrame:
     """sum and mean of (pred - true)^2 over rows with both values."""
-    d = F.col(pred).cast("double") - F.col(true).cast("double")
+    d = number(pred) - number(true)
     return df.agg(F.sum(d * d).alias("sse"), F.avg(d * d).alias("mse"))
 
 

@@ -1,7 +1,7 @@
 """Matrix / tensor algebra.
 
 A (orders, one row per order): [o_totalprice / 997, o_custkey / 97]
-B (lineitem aggregated per order): [sum(l_quantity) / 7, sum(l_extendedprice) / 9973]
+B (one row per order, 0 without line items): [sum(l_quantity) / 7, sum(l_extendedprice) / 9973]
 (divisors chosen so that no value sits on a 4-decimal rounding tie)
 W: closed-form 2 x 3 parameters w[i, j] = ((7i + 3j) % 11 - 5) / 50.
 """
@@ -17,8 +17,9 @@ from tessera.registry.base import R, query, tbl
 
 A_SQL = """a AS (SELECT o_orderkey AS i, 0 AS j, o_totalprice / 997 AS v FROM orders
           UNION ALL SELECT o_orderkey, 1, o_custkey / 97.0 FROM orders)"""
-B_SQL = """b AS (SELECT l_orderkey AS i, 0 AS j, sum(l_quantity) / 7 AS v FROM lineitem GROUP BY l_orderkey
-          UNION ALL SELECT l_orderkey, 1, sum(l_extendedprice) / 9973 FROM lineitem GROUP BY l_orderkey)"""
+B_SQL = """l AS (SELECT o_orderkey AS i, coalesce(sum(l_quantity), 0.0) AS q, coalesce(sum(l_extendedprice), 0.0) AS p
+            FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey),
+          b AS (SELECT i, 0 AS j, q / 7 AS v FROM l UNION ALL SELECT i, 1, p / 9973 FROM l)"""
 
 
 def a_rows(spark, sf):
@@ -29,9 +30,10 @@ def a_rows(spark, sf):
 
 def b_rows(spark, sf):
     li = tbl(spark, sf, "lineitem", ["l_orderkey", "l_quantity", "l_extendedprice"])
-    return (li.groupBy(F.col("l_orderkey").alias("i"))
-            .agg(F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("p"))
-            .select("i", F.array(F.col("q") / 7, F.col("p") / 9973).alias("x")))
+    per = li.groupBy(F.col("l_orderkey").alias("i")).agg(F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("p"))
+    orders = tbl(spark, sf, "orders", ["o_orderkey"]).select(F.col("o_orderkey").alias("i"))
+    return orders.join(per, "i", "left").select(
+        "i", F.array(F.coalesce("q", F.lit(0.0)) / 7, F.coalesce("p", F.lit(0.0)) / 9973).alias("x"))
 
 
 def w_small() -> np.ndarray:
@@ -55,7 +57,7 @@ def _ew(name, op, sym):
     sql = f"""
 WITH {A_SQL}, {B_SQL}
 SELECT CAST(a.i AS BIGINT) AS i, CAST(a.j AS BIGINT) AS j, {R(f'a.v {sym} b.v')} AS v
-FROM a JOIN b ON a.i = b.i AND a.j = b.j"""
+FROM a FULL JOIN b ON a.i = b.i AND a.j = b.j"""
 
     @query(name, sql)
     def run(spark, sf):

@@ -1,13 +1,14 @@
 """Delimited text in and out (distributed; no single-file assumption).
 
 Reading:
-1. the text is read by Spark's CSV reader with every field as STRING (no
-   ``inferSchema`` pass over the data, blank lines skipped, an empty field is
-   NULL in its own position);
-2. ``row_id`` is the row's position in file order, computed from per-split
-   counts (one small aggregate over ``_metadata``) - no global window;
-3. header detection looks at the first line of every file: it is a header iff
-   none of its fields is numeric or a missing token;
+1. Spark's CSV reader parses the text once, every field as STRING (no
+   ``inferSchema`` pass, blank lines skipped, an empty field is NULL in its own
+   position); the rows are written to the shared folder with their file, split
+   and place, so later jobs do not depend on how a scan is split;
+2. ``row_id`` is the row's position in file order (numbers in file names count
+   as numbers), from per-split counts - no global window over rows;
+3. a first line is a header iff it is the same in every file and none of its
+   fields is numeric or a missing token;
 4. type inference is one aggregate: a column is numeric iff every non-missing
    value casts to DOUBLE (an all-missing column is numeric);
 5. one projection applies ``try_cast`` / token normalisation.
@@ -17,12 +18,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.missing import MISSING_TOKENS, is_missing_token, normalise_string, parse_double
 from tessera.plans.joins import lookup_join
-from tessera.session import checkpoint_dir
+from tessera.session import scratch_path
 
 
 @dataclass
@@ -33,71 +34,59 @@ class CsvTable:
     header: bool
 
 
-def _with_file_order_id(spark: SparkSession, raw: DataFrame) -> DataFrame:
-    """Add ``row_id``: 0-based line position over files sorted by path.
-
-    One grouped count per input split (``_metadata``); the running offsets
-    are a window over that split table (one row per split, so bounded) and
-    are checkpointed once in the shared folder, so later actions do not
-    recompute them. The lookup broadcasts them only under the checked size.
-    """
-    checkpoint_dir(spark)
-    d = raw.select("*", F.col("_metadata.file_path").alias("_f"),
-                   F.col("_metadata.file_block_start").alias("_b"),
-                   F.monotonically_increasing_id().alias("_m"))
-    splits = d.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (splits.select("_f", "_b", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-            .checkpoint(eager=True))
-    j = lookup_join(d, offs, ["_f", "_b"], offs.count(), how="inner")
-    return (j.withColumn("row_id", (F.col("_off") + F.col("_m") - F.col("_m0")).cast("long"))
-            .drop("_m", "_m0", "_off", "_b"))
+def natural_order(path: Column) -> Column:
+    """A path with every run of digits padded to 20, so that part-100000 stands
+    after part-10001."""
+    padded = F.regexp_replace(path, r"([0-9]+)", "00000000000000000000$1")
+    return F.regexp_replace(padded, r"0+([0-9]{20})(?![0-9])", "$1")
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool | None = None,
-             names: list[str] | None = None) -> CsvTable:
-    """Load delimited text with inferred header and column types."""
-    raw = (spark.read.option("sep", sep).option("header", False)
+             names: list[str] | None = None, multi_line: bool = False) -> CsvTable:
+    """Load delimited text with inferred header and column types. Quoted line
+    breaks need ``multi_line`` (a file is then read by one task)."""
+    raw = (spark.read.option("sep", sep).option("header", False).option("multiLine", multi_line)
            .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
     cols = raw.columns
-    d = _with_file_order_id(spark, raw)
-    # one aggregate per file (bounded by the file count): its first line and,
-    # for every column, the number of present and of numeric values
-    aggs = [F.min_by(F.struct(*[F.col(c) for c in cols]), "row_id").alias("_first"),
-            F.min("row_id").alias("_first_id")]
-    for i, c in enumerate(cols):
-        present = ~(F.col(c).isNull() | is_missing_token(F.col(c)))
-        aggs += [F.sum(present.cast("long")).alias(f"_p{i}"),
-                 F.sum((present & F.col(c).try_cast("double").isNotNull()).cast("long")).alias(f"_q{i}")]
-    per_file = d.groupBy("_f").agg(*aggs).collect()
-    firsts = sorted(per_file, key=lambda r: r["_first_id"])
+    kept = scratch_path(spark, "csv")
+    raw.select(*cols, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+               F.monotonically_increasing_id().alias("_m")).write.parquet(kept)
+    d = spark.read.parquet(kept)
+    # one row per split of the parse; the first split with rows starts its file
+    line = F.struct(*[F.col(c) for c in cols])
+    splits = d.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"),
+                                       F.min_by(line, "_m").alias("_line"))
+    splits = splits.withColumn("_first", F.col("_b") == F.min("_b").over(Window.partitionBy("_f")))
+    same = splits.where("_first").agg(F.min("_line").alias("lo"), F.max("_line").alias("hi")).first()
+    first = same["lo"]
     if header is None:
-        header = bool(firsts) and all(
-            not any(_is_num_or_missing_py(r["_first"][c]) for c in cols) for r in firsts)
-    present = [sum(r[f"_p{i}"] or 0 for r in per_file) for i in range(len(cols))]
-    numeric_n = [sum(r[f"_q{i}"] or 0 for r in per_file) for i in range(len(cols))]
-    if header:
-        names = names or [str(firsts[0]["_first"][c]).strip() for c in cols]
-        # take the header lines out of the per-column counts
-        for r in firsts:
-            for i, c in enumerate(cols):
-                v = r["_first"][c]
-                if v is not None and v not in _MISSING:
-                    present[i] -= 1
-                    numeric_n[i] -= _is_num_or_missing_py(v)
-        # every file starts with its header: drop it and shift the ids of a
-        # file by the number of header lines up to and including its own
-        shift = spark.createDataFrame([(r["_f"], i + 1, r["_first_id"]) for i, r in enumerate(firsts)],
-                                      "_f string, _shift long, _hid long")
-        d = (d.join(F.broadcast(shift), "_f")
-             .where(F.col("row_id") != F.col("_hid"))
-             .withColumn("row_id", F.col("row_id") - F.col("_shift")))
+        header = first is not None and same["lo"] == same["hi"] and not any(_is_num_or_missing_py(first[c]) for c in cols)
+    header = bool(header)
+    skip = (F.col("_first") & F.lit(header)).cast("long")
+    w = Window.orderBy(natural_order(F.col("_f")), "_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = splits.select("_f", "_b", "_m0", skip.alias("_skip"),
+                         F.coalesce(F.sum(F.col("_n") - skip).over(w), F.lit(0)).alias("_off"))
+    offs_path = scratch_path(spark, "csv-splits")
+    offs.write.parquet(offs_path)
+    offs = spark.read.parquet(offs_path)
+    j = lookup_join(d, offs, ["_f", "_b"], offs.count(), how="left")
+    place = F.when(F.col("_off").isNull(), F.raise_error(F.lit("a split of the text has no offset"))).otherwise(
+        F.col("_off") + F.col("_m") - F.col("_m0") - F.col("_skip"))
+    d = j.where((F.col("_m") - F.col("_m0") >= F.col("_skip")) | F.col("_off").isNull()).withColumn("row_id", place)
+    if header and first is not None:
+        names = names or [str(first[c]).strip() for c in cols]
     names = names or [f"c{i}" for i in range(len(cols))]
-    numeric = [n for i, n in enumerate(names) if present[i] == numeric_n[i]]
+    aggs = []
+    for i, c in enumerate(cols):
+        present = ~(F.col(c).isNull() | is_missing_token(F.col(c)))
+        aggs += [F.count_if(present).alias(f"_p{i}"),
+                 F.count_if(present & F.col(c).try_cast("double").isNotNull()).alias(f"_q{i}")]
+    counts = d.agg(*aggs).first()
+    numeric = [n for i, n in enumerate(names) if counts[f"_p{i}"] == counts[f"_q{i}"]]
     strings = [n for n in names if n not in numeric]
     out = d.select("row_id", *[(parse_double(F.col(c)) if n in numeric else normalise_string(F.col(c))).alias(n)
                                for c, n in zip(cols, names)])
-    return CsvTable(out, numeric, strings, bool(header))
+    return CsvTable(out, numeric, strings, header)
 
 
 _MISSING = set(MISSING_TOKENS) | {""}
@@ -117,7 +106,8 @@ def make_csv(df: DataFrame, path: str, numeric: list[str], strings: list[str] |
              sep: str = ",", order_by: str | None = "row_id") -> None:
     """Write a header line and the numeric columns as ``%.6f`` (missing as
     ``nan``); string columns are written too when given. Rows are written in
-    ``order_by`` order (a distributed range sort, part files in order)."""
+    ``order_by`` order (a distributed range sort, part files in order). Strings
+    keep their blanks; one with a line break is refused."""
     strings = strings or []
     cols = []
     for c in df.columns:
@@ -125,9 +115,11 @@ def make_csv(df: DataFrame, path: str, numeric: list[str], strings: list[str] |
             x = F.col(c).cast("double")
             cols.append(F.when(x.isNull(), F.lit("nan")).otherwise(F.format_string("%.6f", x)).alias(c))
         elif c in strings:
-            cols.append(F.coalesce(F.col(c), F.lit("nan")).alias(c))
+            broken = F.when(F.col(c).rlike(r"[\r\n]"), F.raise_error(F.lit(f"a line break in column {c}")))
+            cols.append(F.coalesce(broken.otherwise(F.col(c)), F.lit("nan")).alias(c))
     src = df.orderBy(order_by) if order_by else df
-    src.select(*cols).write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
+    (src.select(*cols).write.mode("overwrite").option("sep", sep).option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 __all__ = ["read_csv", "make_csv", "CsvTable"]

@@ -30,7 +30,6 @@ def test_exact_median_on_skewed_column(spark):
 def test_exact_median_many_rows_forces_refinement(spark, monkeypatch):
     import tessera.plans.quantile as q
     monkeypatch.setattr(q, "FINAL_ROWS", 50)
-    monkeypatch.setattr(q, "BUCKETS", 8)
     vals = np.arange(1000, dtype=float) ** 1.5
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     assert q.exact_medians(df, ["x"])["x"] == pytest.approx(float(np.median(vals)))
