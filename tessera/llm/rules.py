@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS = 20_000      # labelled rows a model is fitted on, at most
+MAX_RULES = 32         # rules with a weight, at most: the compiled column stays one generated method
 TREES, DEPTH, BINS, RATE = 40, 3, 32, 0.2
 
 
@@ -145,7 +146,9 @@ def lasso_logistic(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 30
     return float(w[0]), w[1:]
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str], penalty: float = 1e-3, seed: int = 17) -> RuleModel:
+def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str], penalty: float = 1e-3, seed: int = 17,
+              max_rules: int = MAX_RULES) -> RuleModel:
+    """The penalty is raised until at most ``max_rules`` rules keep a weight."""
     n = len(y)
     if n == 0 or y.min() == y.max():
         share = (y.sum() + 1) / (n + 2) if n else 0.5
@@ -179,7 +182,17 @@ def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str], penalty: float = 1
             cols.append(hit)
     if not rules:
         return RuleModel(float(margin.mean()), [], n)
-    b, w = lasso_logistic(np.stack(cols, axis=1).astype(np.float64), y.astype(np.float64), penalty)
+    design = np.stack(cols, axis=1).astype(np.float64)
+    while True:
+        b, w = lasso_logistic(design, y.astype(np.float64), penalty)
+        if (np.abs(w) > 1e-6).sum() <= max_rules:
+            break
+        penalty *= 1.5
+    keep = np.flatnonzero(np.abs(w) > 1e-6)          # the weights of the kept rules without shrinkage
+    if len(keep):
+        b, part = lasso_logistic(design[:, keep], y.astype(np.float64), 1e-5, steps=1000)
+        w = np.zeros(len(w))
+        w[keep] = part
     kept = []
     for rule, weight in zip(rules, w):
         if abs(weight) > 1e-6:
