@@ -7,7 +7,7 @@ to the shared folder, which cuts the lineage; no edge reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.session import remove_scratch, scratch_path
@@ -18,7 +18,7 @@ def _stars(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     large = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    large = large.where("a > b").distinct()
+    large = large.where("a > b")
     low2 = large.groupBy("a").agg(F.min("b").alias("m"))
     small = large.join(low2, "a").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
     small = small.unionByName(low2.select("a", F.col("m").alias("b")))
@@ -29,18 +29,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge between different nodes;
     component is the smallest node reachable. Null ends and loops are left out."""
     spark = edges.sparkSession
-    e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
-    path = scratch_path(spark, "edges")
-    e.write.parquet(path)
-    last = None
-    while True:
-        e = spark.read.parquet(path)
-        state = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (state.n, state.h) == last:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        last = (state.n, state.h)
-        new = scratch_path(spark, "edges")
-        _stars(e).write.parquet(new)
+
+    def written(e: DataFrame):
+        """The edges in the shared folder, with their number and a checksum."""
+        path, seen = scratch_path(spark, "edges"), Observation()
+        e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
+                  ).write.parquet(path)
+        return path, (seen.get["n"], seen.get["h"])
+
+    path, state = written(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct())
+    while state[0]:
+        new, after = written(_stars(spark.read.parquet(path)))
         remove_scratch(spark, path)
-        path = new
+        path, state, before = new, after, state
+        if state == before:
+            break
+    e = spark.read.parquet(path)
+    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

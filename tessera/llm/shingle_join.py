@@ -36,7 +36,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.llm.common import batch_column, text_slices
@@ -49,7 +49,7 @@ MAX_FREQUENT = 1 << 20       # shingles kept as frequent (8 bytes each)
 MAX_BROADCAST_IDS = 1 << 20  # ids of texts sent to every executor, at most
 FLUSH = 3_000_000            # hashes gathered in a task before they are written
 SLICE = 4 << 20
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2              # further rounds with other leaders, at most
 HALF = np.uint64(1 << 63)
 
 
@@ -384,24 +384,29 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
         .groupBy("range").applyInArrow(_posting_reduce(percent), "long boolean, x long, y long, size int"), "lists")
     lists = found.where("long").select("x", F.col("y").alias("set"), "size").distinct()
 
+    steps = math.ceil(math.log(100 / percent) / math.log(1.02)) + 1      # sizes that can match
+
     def stars(members: DataFrame, turn: int) -> DataFrame:
-        """Pairs of each list's leader with its members in other components."""
-        rank = F.struct(F.xxhash64("set", F.lit(turn)), F.struct("set", "size", "component"))
-        lead = members.groupBy("x").agg(F.min(rank)["col2"].alias("lead"))
-        both = members.join(lead, "x").where(
-            (F.col("lead.component") != F.col("component"))
-            & (F.abs(F.col("lead.size") - F.col("size")) <= F.lit(math.ceil(math.log(100 / percent) / math.log(1.02)) + 1)))
+        """Pairs of two leaders of each list with its members in other components."""
+        def lead(k):
+            return F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("r"), "set", "size", "component"))
+
+        leads = members.groupBy("x").agg(F.array(lead(2 * turn), lead(2 * turn + 1)).alias("leads"))
+        both = members.join(leads, "x").select("set", "size", "component", F.explode("leads").alias("lead"))
+        both = both.where((F.col("lead.component") != F.col("component"))
+                          & (F.abs(F.col("lead.size") - F.col("size")) <= F.lit(steps)))
         return both.select(F.least("lead.set", "set").alias("a"), F.greatest("lead.set", "set").alias("b")).distinct()
 
     single = lists.withColumn("component", F.col("set"))
     pairs = kept(found.where(~F.col("long")).select(F.col("x").alias("a"), F.col("y").alias("b"))
-                 .unionByName(stars(single, 0)).distinct(), "pairs")
+                 .unionByName(stars(single, 0)).distinct(), "pairs")     # leaders of lists, pairs of short ones
 
-    # 4. whole sets of the texts that stand in a candidate pair
+    # 4. whole sets of the texts that stand in a candidate pair or a long list
     per = kept(docs.where("n > 0").groupBy("sig").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("one")), "sets")
     per = per.select("sig", F.col("one.doc_id").alias("doc_id"), F.col("one.th").alias("th"))
-    involved = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+    involved = (pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig")))
+                .union(lists.select(F.col("set").alias("sig"))).distinct())
     wanted = kept(per.join(involved, "sig", "left_semi").select(F.col("doc_id").alias("want"), "th"), "wanted")
     few = wanted.count() <= MAX_BROADCAST_IDS
     texts = src.join(F.broadcast(wanted) if few else wanted,
@@ -429,15 +434,17 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
         apart = members.groupBy("x", "component").agg(F.count(F.lit(1)).alias("m"))
         apart = apart.groupBy("x").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("s"),
                                        F.count(F.lit(1)).alias("c")).where("c > 1")
-        apart = kept(apart, "apart")
-        left = apart.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.sum("m")).first()
-        if not left[0]:
+        seen = Observation()
+        apart = kept(apart.observe(seen, F.sum((F.col("m") * F.col("m") - F.col("s")) / 2).alias("pairs"),
+                                   F.sum("m").alias("sets")), "apart")
+        left = seen.get
+        if not left["pairs"]:
             break
         members = members.join(apart.select("x"), "x", "left_semi")
-        last = turn > STAR_ROUNDS or left[0] <= 4 * left[1]
+        last = turn > STAR_ROUNDS or left["pairs"] <= 4 * left["sets"]
         if last:
             p, q = members.alias("p"), members.alias("q")
-            near = F.abs(F.col("p.size") - F.col("q.size")) <= math.ceil(math.log(100 / percent) / math.log(1.02)) + 1
+            near = F.abs(F.col("p.size") - F.col("q.size")) <= steps
             more = p.join(q, (F.col("p.x") == F.col("q.x")) & (F.col("p.component") < F.col("q.component")) & near)
             more = more.select(F.least("p.set", "q.set").alias("a"), F.greatest("p.set", "q.set").alias("b")).distinct()
         else:
