@@ -296,14 +296,3 @@ def init_params(spark: SparkSession, layer: int, rows: int, cols: int, seed: int
     v = F.lit(0.0) if seed == 0 else uniform_from_md5(seed, f"{layer}", F.col("id"))
     return ids.select(F.lit(layer).alias("layer"), param.alias("param"), idx.alias("idx"), v.alias("v"))
 
-
-def uniform_numpy(seed: int, tag: str, n: int) -> np.ndarray:
-    """The same md5 uniforms computed on the driver (model-sized)."""
-    import hashlib
-    if seed == 0:
-        return np.zeros(n)
-    out = np.empty(n)
-    for i in range(n):
-        h = hashlib.md5(f"{seed}:{tag}:{i}".encode()).hexdigest()
-        out[i] = int(h[:8], 16) / 4294967296.0 * 0.2 - 0.1
-    return out

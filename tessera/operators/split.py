@@ -77,7 +77,19 @@ def with_batches(df: DataFrame, key: str, seed: int, batch_size: int,
     return p.withColumn(batch, F.floor(F.col("_pos") / F.lit(batch_size)).cast("long")).drop("_pos")
 
 
-def gather(df: DataFrame, key: str, seed: int, begin: int, end: int, pos: str = "pos") -> DataFrame:
-    """Rows ``order[begin:end)`` of the seeded permutation."""
-    p = shuffle_positions(df, key, seed, pos)
-    return p.where((F.col(pos) >= begin) & (F.col(pos) < end))
+def gather(df: DataFrame, key: str, seed: int, begin: int, end: int, pos: str = "pos",
+           n: int | None = None) -> DataFrame:
+    """Rows ``order[begin:end)`` of the seeded permutation: two cuts in the
+    order make the slice a narrow filter; only the slice is ranked."""
+    n = df.count() if n is None else n
+    begin, end = max(0, begin), min(end, n)
+    h = with_order_hash(df, key, seed)
+    if begin >= end:
+        return h.limit(0).withColumn("_h", F.lit(0).cast("long")).withColumnRenamed("_h", pos)
+    inside = F.lit(True)
+    if begin:
+        inside = inside & ~before_key("_h", key, kth_key(h, "_h", key, begin))
+    if end < n:
+        inside = inside & before_key("_h", key, kth_key(h, "_h", key, end))
+    out = contiguous_positions(h.where(inside), ["_h", key], md5_bucket("_h", prefix_digits(end - begin)), pos)
+    return out.withColumn(pos, F.col(pos) + F.lit(begin)).drop("_h")

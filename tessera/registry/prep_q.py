@@ -287,6 +287,61 @@ def q_batch_gather(spark, sf):
     return split.with_batches(o, "o_orderkey", 7, 1000)
 
 
+@query("positional_gather", f"""
+SELECT o_orderkey, CAST(pos AS BIGINT) AS pos FROM (SELECT o_orderkey, {SHUF_SQL.format(seed=7)} AS pos FROM orders)
+WHERE pos >= 100 AND pos < 900
+""")
+def q_positional_gather(spark, sf):
+    o = tbl(spark, sf, "orders", ["o_orderkey"])
+    return split.gather(o, "o_orderkey", 7, 100, 900)
+
+
+@query("describe_numeric_nan", f"""
+WITH ev AS (SELECT CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value FROM events)
+SELECT 'value' AS feature, count(value) AS count, {R('avg(value)')} AS mean, {R('stddev_samp(value)')} AS std,
+       {R('min(value)')} AS min, {R('max(value)')} AS max, {R('median(value)')} AS median
+FROM ev
+""")
+def q_describe_numeric_nan(spark, sf):
+    """A table that did not come from ``read_csv``: NaN is missing."""
+    from tessera.operators import profile
+    ev = events_with_nan(spark, sf)
+    d = profile.describe_numeric(ev, ["value"])
+    med = profile.medians(ev, ["value"])["value"]
+    return d.select(F.col("column").alias("feature"), "count", r4("mean").alias("mean"), r4("std").alias("std"),
+                    r4("min").alias("min"), r4("max").alias("max"),
+                    r4(F.lit(med).cast("double")).alias("median"))
+
+
+@query("impute_mean_nan", f"""
+WITH ev AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value FROM events)
+SELECT event_id, {R('coalesce(value, (SELECT avg(value) FROM ev))')} AS value FROM ev
+""")
+def q_impute_mean_nan(spark, sf):
+    from tessera.operators import impute
+    ev = events_with_nan(spark, sf)
+    return impute.fit_imputer(ev, ["value"], "mean").transform(ev).select("event_id", r4("value").alias("value"))
+
+
+@query("one_hot_bigint", """
+WITH t AS (SELECT o_orderkey AS row_id, 9007199254740992 + o_custkey % 5 AS y FROM orders),
+d AS (SELECT y, row_number() OVER (ORDER BY min(row_id)) - 1 AS code FROM t GROUP BY y)
+SELECT row_id, CAST(y AS BIGINT) AS y, CAST(code AS INTEGER) AS code FROM t JOIN d USING (y)
+""")
+def q_one_hot_bigint(spark, sf):
+    """Classes that are integers above 2**53 stay apart."""
+    from tessera.operators import encode
+    o = tbl(spark, sf, "orders", ["o_orderkey", "o_custkey"]).select(
+        F.col("o_orderkey").alias("row_id"), (F.lit(9007199254740992) + F.col("o_custkey") % 5).alias("y"))
+    key = encode.numeric_key(F.col("y"), "bigint")
+    return encode.label_encode(o, key, encode.fit_dictionary(o, key)).select("row_id", "y", "code")
+
+
+def events_with_nan(spark, sf):
+    e = tbl(spark, sf, "events", ["event_id", "value"])
+    return e.withColumn("value", F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+
+
 @query("describe_numeric_missing", f"""
 WITH {EV_SQL}
 SELECT 'value' AS feature, count(value) AS count, {R('avg(value)')} AS mean, {R('stddev_samp(value)')} AS std,

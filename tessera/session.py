@@ -56,7 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if d:
-        spark.sparkContext.setCheckpointDir(d)
+        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():     # each call makes a new subfolder
+            spark.sparkContext.setCheckpointDir(d)
         return d
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():

@@ -65,14 +65,13 @@ def test_shuffled_matrix_product(spark, monkeypatch):
     assert np.allclose(out, A @ B)
 
 
-def test_grouped_gradient_sum_equals_direct(spark, monkeypatch):
+def test_gradient_sum_over_tasks_equals_one_task(spark):
     rng = np.random.default_rng(6)
     model = Sequential((4,), [Dense(3, "softmax")], seed=2)
     x, y = rng.normal(size=(30, 4)), np.eye(3)[rng.integers(0, 3, 30)]
     df = spark.createDataFrame([(x[i].tolist(), y[i].tolist()) for i in range(30)],
                                "x array<double>, y array<double>").repartition(5)
-    direct = sc.collect_gradient(sc.gradient_sums(df, model, "categorical_crossentropy", "accuracy"), 15)
-    monkeypatch.setattr(sc, "DIRECT_COLLECT_VALUES", 0)
+    direct = sc.collect_gradient(sc.gradient_sums(df.coalesce(1), model, "categorical_crossentropy", "accuracy"), 15)
     grouped = sc.collect_gradient(sc.gradient_sums(df, model, "categorical_crossentropy", "accuracy"), 15)
     assert np.allclose(direct[0], grouped[0]) and direct[1:] == pytest.approx(grouped[1:])
 
