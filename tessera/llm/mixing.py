@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-BUCKET_ROWS = 4096      # rows aimed at for one md5 prefix of one source
+BUCKET_ROWS = 256       # rows aimed at for one md5 prefix of one source
 WEIGHTS = (5.0, 2.0, 1.0)
 
 

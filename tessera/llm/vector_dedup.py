@@ -32,7 +32,8 @@ from tessera.llm.common import batch_column
 from tessera.llm.graph import components
 from tessera.session import scratch_path
 
-BLOCK_DIMS, CHUNK, ROWS_AT_ONCE = 16, 6_144, 256
+BLOCK_DIMS, CHUNK, ROWS_AT_ONCE = 16, 8_192, 256
+LEAST_CHUNK = 1_024        # chunks of small tables are smaller, so that tasks stay even
 
 
 def rotation(d: int, seed: int = 5) -> np.ndarray:
@@ -123,6 +124,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.95, id_col: str = "vec_id",
     (rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
      .write.parquet(path))
     reps = spark.read.parquet(path)
+    chunk_rows = max(1, min(CHUNK, max(LEAST_CHUNK, reps.count() // 8)))
 
     def cells(batches):
         for batch in batches:
@@ -151,7 +153,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.95, id_col: str = "vec_id",
     at = ["dim", "block", "cell"]
     # chunks per cell; the number of cells is bounded by the threshold and the dimensions
     sizes = placed.groupBy(*at).agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select(*at, F.ceil(F.col("n") / CHUNK).cast("int").alias("k"))
+    sizes = sizes.select(*at, F.ceil(F.col("n") / chunk_rows).cast("int").alias("k"))
     path2 = scratch_path(spark, "cells")
     sizes.write.parquet(path2)
     sizes = spark.read.parquet(path2)

@@ -142,7 +142,7 @@ def usable(v):
     return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
 
 
-@pytest.mark.parametrize("chunk", [6144, 40])
+@pytest.mark.parametrize("chunk", [8192, 40])
 def test_vector_links_match_brute_force(spark, monkeypatch, chunk):
     monkeypatch.setattr(vector_dedup, "CHUNK", chunk)
     monkeypatch.setattr(vector_dedup, "BLOCK_DIMS", 8)
