@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 from tessera.session import remove_scratch, scratch_path
 
 
-def _stars(e: DataFrame) -> DataFrame:
-    """One large star and one small star over edges (a > b)."""
+SMALL = 1 << 19       # edges whose minima (16 bytes a node) go to every executor
+
+
+def _stars(e: DataFrame, edges: int) -> DataFrame:
+    """One large star and one small star over edges (a > b), of which there are
+    ``edges``: below the bound the minima are broadcast, above it joined."""
+    sent = F.broadcast if edges <= SMALL else (lambda x: x)
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    large = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = both.where(F.col("b") > F.col("a")).join(sent(low), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     large = large.where("a > b")
     low2 = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(low2, "a").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
+    small = large.join(sent(low2), "a").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
     small = small.unionByName(low2.select("a", F.col("m").alias("b")))
     return small.where("a > b").distinct()
 
@@ -39,7 +44,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     path, state = written(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct())
     while state[0]:
-        new, after = written(_stars(spark.read.parquet(path)))
+        new, after = written(_stars(spark.read.parquet(path), state[0]))
         remove_scratch(spark, path)
         path, state, before = new, after, state
         if state == before:

@@ -16,8 +16,9 @@ is no dearer than scanning lists of the measured mean length.
 Equal sets are one set. Lists of at most ``SHORT`` sets give their pairs. Longer
 lists (boiler plate, large groups of near copies) give the pairs of a leader with
 every member; after verification, sets that are still apart in some list are
-compared again with another leader, and in the end all pairs of a list that lie
-in different components are verified. So every link between components is found,
+compared again with other leaders, and in the end all pairs of a list that lie
+in different components, and could reach the similarity if the list's element is
+the first they share, are verified. So every link between components is found,
 and pairs inside a component that cannot change the result are not listed.
 Candidates are verified on the whole sets.
 
@@ -36,6 +37,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -47,9 +49,10 @@ from tessera.session import scratch_path
 SHORT = 8                    # sets of a list whose pairs are all candidates
 MAX_FREQUENT = 1 << 20       # shingles kept as frequent (8 bytes each)
 MAX_BROADCAST_IDS = 1 << 20  # ids of texts sent to every executor, at most
+FEW_PAIRS = 200_000          # pairs between components that are listed without another round
 FLUSH = 3_000_000            # hashes gathered in a task before they are written
 SLICE = 4 << 20
-STAR_ROUNDS = 2              # further rounds with other leaders, at most
+STAR_ROUNDS = 1              # further rounds with other leaders, at most
 HALF = np.uint64(1 << 63)
 
 
@@ -84,7 +87,8 @@ def _count_map(bits: int, length: int):
     shift = np.uint64(31 - bits)
 
     def run(batches):
-        hashes, held, rows = [], 0, []
+        hashes, held = [], 0
+        row = TaskContext.get().partitionId() * 7919          # rows of a task go to all ranges in turn
 
         def counted():
             v = np.concatenate(hashes) >> shift
@@ -100,10 +104,11 @@ def _count_map(bits: int, length: int):
                 sets = shingle_sets(text.slice(a, b - a), length)
                 sig = [set_id(h) if len(h) else None for h in sets]
                 yield pa.RecordBatch.from_pydict({
-                    "range": pa.array([(x or k) % (1 << bits) for k, x in enumerate(sig)], pa.int32()),
+                    "range": pa.array((row + np.arange(b - a)) % (1 << bits), pa.int32()),
                     "doc_id": ids.slice(a, b - a), "th": th.slice(a, b - a),
                     "n": pa.array([len(h) for h in sets], pa.int64()), "sig": pa.array(sig, pa.int64()),
                     "blob": pa.nulls(b - a, pa.binary())})
+                row += b - a
                 for k in {x: k for k, x in enumerate(sig) if x is not None}.values():
                     h = sets[k]
                     h = h[:np.searchsorted(h, HALF)]      # only these come into a prefix, as a rule
@@ -184,10 +189,10 @@ def _posting_map(order, bits: int, length: int, percent: int, border: int):
 
     def run(batches):
         place = order.value
-        e, s, n, held = [], [], [], 0
+        e, s, n, places, held = [], [], [], [], 0
 
         def flush():
-            el = np.concatenate(e)
+            el, pos = np.concatenate(e), np.concatenate(places)
             sig = np.repeat(np.array(s, dtype=np.int64), n)
             size = np.repeat(size_code(np.array([x for x in sizes], dtype=np.float64)), n)
             # frequent elements go to a range of their own set: no long list in one task
@@ -199,9 +204,9 @@ def _posting_map(order, bits: int, length: int, percent: int, border: int):
                 if not len(at):
                     continue
                 if flag:
-                    extra = (el[at].astype("<u8"), sig[at].astype("<i8"), size[at].astype("<u2"))
+                    extra = (el[at].astype("<u8"), sig[at].astype("<i8"), size[at].astype("<u2"), pos[at])
                 else:
-                    extra = (sig[at].astype("<i8"), size[at].astype("<u2"))
+                    extra = (sig[at].astype("<i8"), size[at].astype("<u2"), pos[at])
                 out += [(r, flag, b) for r, b in _blobs(spread[at] >> shift, 0, extra)]
             return pa.RecordBatch.from_pydict({
                 "range": pa.array([x[0] for x in out], pa.int32()), "frequent": pa.array([x[1] for x in out]),
@@ -220,86 +225,98 @@ def _posting_map(order, bits: int, length: int, percent: int, border: int):
                         continue
                     seen.add(sig)
                     c = needed(len(h), percent)
-                    found = []
+                    found, where = [], []
                     if len(h) <= border:
                         p, cls = place.prefix(h, len(h) - c + 2)
                         i, j = np.triu_indices(len(p), 1)
                         x, y = np.minimum(p[i], p[j]), np.maximum(p[i], p[j])
                         el = mix(mix(x) * np.uint64(3) + y) & ~np.uint64(3)
                         found.append(np.where(np.minimum(cls[i], cls[j]) > 0, el | np.uint64(2), el))
+                        where.append(j - 1)
                     if len(h) >= small_in_lists:
                         p, cls = place.prefix(h, len(h) - c + 1)
                         el = (mix(p ^ np.uint64(0xA5A5A5A5A5A5A5A5)) & ~np.uint64(3)) | np.uint64(1)
                         found.append(np.where(cls > 0, el | np.uint64(2), el))
+                        where.append(np.arange(len(p)))
                     if found:
                         el = np.concatenate(found)
                         e.append(el)
+                        places.append(np.minimum(np.concatenate(where), 65535).astype("<u2"))
                         s.append(sig)
                         n.append(len(el))
                         sizes.append(len(h))
                         held += len(el)
                 if held > FLUSH // 2:
                     yield flush()
-                    e, s, n, sizes, held = [], [], [], [], 0
+                    e, s, n, places, sizes, held = [], [], [], [], [], 0
         if held:
             yield flush()
     return run
 
 
-def _near_sizes(a, b, percent: int):
-    """Whether sizes (2 % codes) may reach the similarity; never refuses a true pair."""
-    return np.abs(a.astype(np.int64) - b.astype(np.int64)) <= math.ceil(math.log(100 / percent) / math.log(1.02)) + 1
+def _may_match(za, pa, zb, pb, percent: int, least=np.minimum, power=np.power):
+    """Whether two sets of a list may reach the similarity if this element is the
+    first they share: at most n - place shingles are common then. From sizes as
+    2 % codes, rounded so that no true pair is refused at its first element."""
+    most = least(power(1.02, za + 1.0) - pa, power(1.02, zb + 1.0) - pb) + 0.01
+    return most >= (power(1.02, za + 0.0) + power(1.02, zb + 0.0)) * (percent / (100.0 + percent))
 
 
 def _posting_reduce(percent: int):
     def run(t: pa.Table) -> pa.Table:
-        keys, sets, sizes, long = [], [], [], []
+        keys, sets, sizes, places, long = [], [], [], [], []
         for flag, blob in zip(t["frequent"].to_pylist(), t["blob"].to_pylist()):
             if flag:
-                m = len(blob) // 22
+                m = len(blob) // 24
                 el = np.frombuffer(blob, "<u8", m, 4 * m)
-                long.append((el, np.frombuffer(blob, "<i8", m, 12 * m), np.frombuffer(blob, "<u2", m, 20 * m)))
+                long.append((el, np.frombuffer(blob, "<i8", m, 12 * m), np.frombuffer(blob, "<u2", m, 20 * m),
+                             np.frombuffer(blob, "<u2", m, 22 * m)))
             else:
-                m = len(blob) // 14
+                m = len(blob) // 16
                 keys.append(np.frombuffer(blob, "<u4", m))
                 sets.append(np.frombuffer(blob, "<i8", m, 4 * m))
                 sizes.append(np.frombuffer(blob, "<u2", m, 12 * m))
+                places.append(np.frombuffer(blob, "<u2", m, 14 * m))
         base = np.int64(t["range"][0].as_py()) << np.int64(32)
-        x, y, n = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        x, y, n, w = ([np.empty(0, np.int64)] for _ in range(4))
         px, py = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         if keys:
-            k, s, z = np.concatenate(keys), np.concatenate(sets), np.concatenate(sizes)
+            k, s, z, p = np.concatenate(keys), np.concatenate(sets), np.concatenate(sizes), np.concatenate(places)
             o = np.lexsort((s, k))
-            k, s, z = k[o], s[o], z[o]
+            k, s, z, p = k[o], s[o], z[o], p[o]
             fresh = np.ones(len(k), dtype=bool)
             fresh[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
-            k, s, z = k[fresh], s[fresh], z[fresh]
+            k, s, z, p = k[fresh], s[fresh], z[fresh].astype(np.int64), p[fresh].astype(np.int64)
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             length = np.diff(np.append(first, len(k)))
             of = np.repeat(length, length)
             in_long = of > SHORT
             x.append(k[in_long].astype(np.int64) + base)
             y.append(s[in_long])
-            n.append(z[in_long].astype(np.int64))
+            n.append(z[in_long])
+            w.append(p[in_long])
             at = np.flatnonzero((of > 1) & ~in_long)
             for step in range(1, SHORT):                    # pairs at this distance in a short list
                 i = at[at + step < len(k)]
                 i = i[k[i] == k[i + step]]
-                ok = _near_sizes(z[i], z[i + step], percent)
+                ok = _may_match(z[i], p[i], z[i + step], p[i + step], percent)
                 px.append(s[i[ok]])
                 py.append(s[i[ok] + step])
-        for el, s, z in long:
+        for el, s, z, p in long:
             x.append(el.view(np.int64))
             y.append(s)
             n.append(z.astype(np.int64))
+            w.append(p.astype(np.int64))
         px, py = np.concatenate(px), np.concatenate(py)
         if len(px):
             u = np.unique(np.stack([np.minimum(px, py), np.maximum(px, py)], axis=1), axis=0)
             px, py = u[:, 0], u[:, 1]
-        x, y, n = np.concatenate(x), np.concatenate(y), np.concatenate(n)
+        x, y, n, w = np.concatenate(x), np.concatenate(y), np.concatenate(n), np.concatenate(w)
+        none = np.zeros(len(px), np.int64)
         return pa.table({"long": pa.array(np.arange(len(px) + len(x)) >= len(px)),
                          "x": pa.array(np.concatenate([px, x])), "y": pa.array(np.concatenate([py, y])),
-                         "size": pa.array(np.concatenate([np.zeros(len(px), np.int64), n]).astype(np.int32))})
+                         "size": pa.array(np.concatenate([none, n]).astype(np.int32)),
+                         "place": pa.array(np.concatenate([none, w]).astype(np.int32))})
     return run
 
 
@@ -381,15 +398,17 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
     found = kept(
         src.select("text").mapInArrow(_posting_map(order, bits, length, percent, border),
                                       "range int, frequent boolean, blob binary")
-        .groupBy("range").applyInArrow(_posting_reduce(percent), "long boolean, x long, y long, size int"), "lists")
-    lists = found.where("long").select("x", F.col("y").alias("set"), "size").distinct()
+        .groupBy("range").applyInArrow(_posting_reduce(percent), "long boolean, x long, y long, size int, place int"), "lists")
+    lists = kept(found.where("long").select("x", F.col("y").alias("set"), "size", "place").distinct(), "long")
 
     steps = math.ceil(math.log(100 / percent) / math.log(1.02)) + 1      # sizes that can match
 
     def stars(members: DataFrame, turn: int) -> DataFrame:
         """Pairs of two leaders of each list with its members in other components."""
         def lead(k):
-            return F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("r"), "set", "size", "component"))
+            # at first the same leaders for all lists, so few pairs; later others in each list
+            by = F.xxhash64("set", F.lit(k)) if turn == 0 else F.xxhash64("set", "x", F.lit(k))
+            return F.min(F.struct(by.alias("r"), "set", "size", "component"))
 
         leads = members.groupBy("x").agg(F.array(lead(2 * turn), lead(2 * turn + 1)).alias("leads"))
         both = members.join(leads, "x").select("set", "size", "component", F.explode("leads").alias("lead"))
@@ -441,10 +460,11 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
         if not left["pairs"]:
             break
         members = members.join(apart.select("x"), "x", "left_semi")
-        last = turn > STAR_ROUNDS or left["pairs"] <= 4 * left["sets"]
+        last = turn > STAR_ROUNDS or left["pairs"] <= max(4 * left["sets"], FEW_PAIRS)
         if last:
             p, q = members.alias("p"), members.alias("q")
-            near = F.abs(F.col("p.size") - F.col("q.size")) <= steps
+            near = _may_match(F.col("p.size"), F.col("p.place"), F.col("q.size"), F.col("q.place"), percent,
+                              F.least, lambda base, z: F.pow(F.lit(base), z))
             more = p.join(q, (F.col("p.x") == F.col("q.x")) & (F.col("p.component") < F.col("q.component")) & near)
             more = more.select(F.least("p.set", "q.set").alias("a"), F.greatest("p.set", "q.set").alias("b")).distinct()
         else:

@@ -1,23 +1,15 @@
-import os
-import sys
-import tempfile
+"""Fixtures of the operator tests; the session comes from ``tests/conftest.py``."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from tessera.session import get_session, ship_package  # noqa: E402
+from tessera.session import ship_package
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    s = get_session("tessera-llm-tests", master="local[4]", shuffle_partitions=4,
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tessera-llm-ckpt-"),
-                           "spark.driver.memory": "4g"})
-    ship_package(s)
-    yield s
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    ship_package(spark)
 
 
 @pytest.fixture(scope="session")

@@ -9,7 +9,7 @@ import corpus_pipeline
 from tessera.llm import rules, shingle_join
 from tessera.llm.queries import QUERIES
 
-from conftest import SF
+from llm_fixtures import SF, shipped  # noqa: F401
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -15,7 +15,7 @@ from tessera.llm import licences, mixing, packing, records, rules, sharding, tok
 from tessera.llm.token_counts import count_after_merges
 from tessera.session import scratch_path
 
-from conftest import SF
+from llm_fixtures import SF, docs, documents, shipped  # noqa: F401
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
