@@ -164,7 +164,7 @@ def _template_places(words: Column, statement: list[str], keys: list[list[str]],
 
 
 def _named(column: str, label: str) -> Column:
-    return F.transform(column, lambda x: F.struct(F.lit(label).alias("label"), x["at"].cast("long").alias("word")))
+    return F.transform(column, lambda x: F.struct(F.lit(label).alias("label"), F.greatest(x["at"], F.lit(0)).cast("long").alias("word")))
 
 
 def _position(t: list[str], key: list[str]) -> int:
