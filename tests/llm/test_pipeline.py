@@ -29,7 +29,8 @@ def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out, seen = {}, docs
     for name, stage in corpus_pipeline.STAGES:
-        seen = spark.createDataFrame(stage(spark, seen, SF).collect(), stage(spark, seen, SF).schema)
+        df = stage(spark, seen, SF)
+        seen = spark.createDataFrame(df.collect(), df.schema)
         out[name] = seen
     for name in ("quality", "near_duplicates", "mixture"):
         assert out[name].columns == docs.columns
