@@ -53,6 +53,11 @@ def unit_rotated(x: np.ndarray) -> np.ndarray:
     return (y / np.sqrt((y * y).sum(axis=1, keepdims=True))) @ rotation(x.shape[1])
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two (exact) that keeps their squares finite."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def roots(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray | None = None) -> np.ndarray:
     """Smallest node reachable, for nodes 0..n-1 and links a-b."""
     p = np.arange(n) if parent is None else parent
@@ -73,6 +78,7 @@ def links_of_group(x: np.ndarray, y: np.ndarray | None, wx: np.ndarray, wy: np.n
     """Links between the rows of x and y (y None: among the rows of x) whose first
     qualifying block is ``block``: weighted link counts and a parent array over
     the rows of x, then y."""
+    x, y = scaled(x), None if y is None else scaled(y)
     d = x.shape[1]
     parts = edges_of_blocks(d)
     budget = [(2 - 2 * t) * (hi - lo) / d + 1e-9 for lo, hi in parts]
