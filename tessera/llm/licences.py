@@ -2,14 +2,14 @@
 
 Templates are short licence statements. Their words form the index: word ->
 (template, position). One pass counts in how many documents each licence word
-stands (its IDF comes from all documents). For every document the licence words
-with the highest IDF are looked up, the postings' places are intersected by
-relative position (place in the text minus place in the template), and a place
-counts when the template's key phrases stand there word by word.
-
-Base phrases are found at all their places through the same postings, without
-the cut to the rarest words. DataFrame functions only; no shuffle but the small
-word count. Words are runs of ASCII letters, digits and characters above ASCII;
+stands (its IDF comes from all documents). Every template is looked up at all
+places of the word of its key phrases with the highest IDF: a place in the text
+minus the word's place in the template is a start, and a start counts when the
+template's key phrases stand there word by word. As the key phrases must stand,
+no start is missed, however many licence words a document has.
+
+Base phrases are found at all their places through the same postings. DataFrame
+functions only; no shuffle but the small word count. Words are runs of ASCII letters, digits and characters above ASCII;
 A-Z are lower-cased, nothing else.
 
 Defined results: a null or empty text has no words, null places, empty labels
@@ -43,7 +43,6 @@ TEMPLATES = {
                    ("permission is hereby granted", "free of charge")),
     "creative-commons": ("licensed under a creative commons attribution license", ("creative commons attribution",)),
 }
-RARE_WORDS = 4        # licence words of a document that are looked up for the templates
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -76,7 +75,7 @@ def stands(words: Column, phrase: list[str], at: Column) -> Column:
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict | None = None,
-         base: dict | None = None, rare_words: int = RARE_WORDS) -> DataFrame:
+         base: dict | None = None) -> DataFrame:
     """Per row doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels, score (best share of a template's words that stand at their places;
     1 for a base phrase) and places (label, first word) of the method's labels."""
@@ -85,7 +84,6 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
     seen = word_frequencies(df, vocab, text_col)
     rarest = sorted(vocab, key=lambda w: (seen.get(w, 0), w))           # highest IDF first
     rank = {w: i for i, w in enumerate(rarest)}
-    ranks = F.array(*[F.lit(w) for w in rarest])
 
     out = df.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
     out = out.withColumn("n_words", F.size("words").cast("long"))
@@ -108,9 +106,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
     every = F.concat(*[F.col(f"base_{k}") for k in range(len(starts))])
     base_labels = F.array_compact(F.array(*[F.when(F.size(f"base_{k}") > 0, F.lit(label))
                                             for k, (label, _) in enumerate(starts)]))
-    # templates: postings of the document's rarest licence words, by relative position
-    top = F.slice(F.array_intersect(ranks, F.transform("hits", lambda h: h["w"])), 1, rare_words)
-    out = out.withColumn("rare", F.when(F.size("hits") > 0, top).otherwise(F.array().cast("array<string>")))
+    # templates: postings of the rarest word of their key phrases, by relative position
     found = [(label, _template_places(words, statement.split(" "), [k.split(" ") for k in keys], rank))
              for label, (statement, keys) in sorted(templates.items())]
     out = out.withColumns({f"own_{k}": c for k, (_, c) in enumerate(found)})
@@ -141,11 +137,10 @@ def _offsets(word: str, place: int) -> Column:
 
 
 def _template_places(words: Column, statement: list[str], keys: list[list[str]], rank: dict) -> Column:
-    """(at, share) for each start to which postings of the document's rare words
-    point and at which all key phrases stand."""
-    lookups = [F.when(F.array_contains("rare", w), _offsets(w, k)).otherwise(F.array().cast("array<int>"))
-               for k, w in enumerate(statement)]
+    """(at, share) for each start to which postings of the rarest word of the key
+    phrases point and at which all key phrases stand."""
     key_at = [(k, _position(statement, k)) for k in keys]
+    anchor = min((at + j for k, at in key_at for j in range(len(k))), key=lambda p: rank[statement[p]])
 
     def ok(s):
         out = F.lit(True)
@@ -159,8 +154,8 @@ def _template_places(words: Column, statement: list[str], keys: list[list[str]],
             n = n + F.when(stands(words, [w], s + F.lit(k)), 1).otherwise(0)
         return F.struct(s.alias("at"), (n / F.lit(float(len(statement)))).alias("share"))
 
-    places = F.transform(F.filter(F.array_distinct(F.concat(*lookups)), ok), share)
-    return F.when(F.size("rare") > 0, places).otherwise(F.array().cast("array<struct<at:int,share:double>>"))
+    places = F.transform(F.filter(_offsets(statement[anchor], anchor), ok), share)
+    return F.when(F.size("hits") > 0, places).otherwise(F.array().cast("array<struct<at:int,share:double>>"))
 
 
 def _named(column: str, label: str) -> Column:

@@ -147,6 +147,43 @@ def test_licence_places_match_brute_force(docs, documents):
     assert got == want
 
 
+def brute_templates(text):
+    """(label, first word) of each place at which all key phrases of a template
+    stand, and the best share of a template's words there."""
+    w, places, best = brute_words(text), [], 0.0
+    for label, (statement, keys) in licences.TEMPLATES.items():
+        t = statement.split()
+        at = [(k.split(), licences._position(t, k.split())) for k in keys]
+        for s in range(-len(t), len(w)):
+            if all(s + p >= 0 and w[s + p:s + p + len(k)] == k for k, p in at):
+                places.append((label, max(s, 0)))
+                best = max(best, sum(0 <= s + j < len(w) and w[s + j] == x for j, x in enumerate(t)) / len(t))
+    return sorted(places), best
+
+
+def test_licence_templates_match_brute_force_whatever_else_stands(spark, documents):
+    statements = [statement for statement, _ in licences.TEMPLATES.values()]
+    rows = [(i, t) for i, t, _ in documents]
+    rows += [(1001, "Any person may use this software free of charge. Released under the MIT license"),
+             (1002, "Licensed under the Apache License, Version 2.0. Licensed under CC BY-NC 4.0. "
+                    "Licensed under the GNU General Public License version 3."),
+             (1003, " and then ".join(statements)), (1004, " ".join(reversed(statements)) * 3),
+             (1005, "mit license"), (1006, "license mit, public domain: free and unencumbered software"),
+             (1007, " ".join(licences.vocabulary(licences.TEMPLATES, licences.BASE)) + ". The ISC license")]
+    got = Counter()
+    for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[(r.doc_id, r.labels, tuple((p.label, p.word) for p in r.places), round(r.score, 9))] += 1
+    want, held = Counter(), {}
+    for i, t in rows:
+        places, best = brute_templates(t)
+        base = {b for p, b in licences.BASE.items() if f" {p} " in f" {' '.join(brute_words(t))} "}
+        labels = {label for label, _ in places} | base
+        held[i] = labels
+        want[(i, ",".join(sorted(labels)), tuple(places), round(1.0 if base else best, 9))] += 1
+    assert got == want
+    assert held[1001] == {"mit"} and "gpl-3" in held[1002] and held[1003] >= set(licences.TEMPLATES)
+
+
 def test_licence_plan_is_native_and_narrow(docs):
     plan = licences.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
