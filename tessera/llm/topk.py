@@ -16,7 +16,9 @@ k of all blocks are ranked by a window with a group limit.
 
 Defined results: vectors that are null or hold null or non-finite components,
 and rows without an id, take no part; rows repeated in id and vector count once;
-vectors meet only vectors of their own length; ties go to the smaller id.
+an id with several vectors has a row, and as a query a list, for each of them
+(told apart by a 64-bit hash), and no row meets rows of its own id; vectors meet
+only vectors of their own length; ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -45,34 +47,39 @@ def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
     vectors, ids = vectors[order].astype(kind), ids[order]
     up, down = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
     known = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
-    threshold = np.full(len(queries), -np.inf) if kind is not object else np.array([-(1 << 200)] * len(queries), object)
+    none = -np.inf if kind is not object else -(1 << 200)
+    threshold = np.full(len(queries), none, dtype=float if kind is not object else object)
     whole = queries.astype(kind)
     for lo in range(0, len(ids), LIST_BLOCK):
         x, xid = vectors[lo:lo + LIST_BLOCK], ids[lo:lo + LIST_BLOCK]
         lists = np.sort(x, axis=0)                     # ascending; read from either end
         n = len(x)
+        own = list(zip(np.searchsorted(xid, query_ids), np.searchsorted(xid, query_ids, "right")))
+        own = [(q, a, b) for q, (a, b) in enumerate(own) if a < b]      # rows of the query's id take no part
         for depth in DEPTHS:
             t = max(1, int(math.ceil(n * depth)))
             high, low = lists[n - t], lists[t - 1]     # frontiers of the two directions
             upper = up @ np.maximum(x, high).T + down @ np.minimum(x, low).T
             floor = threshold
-            if n > k:
+            if n >= k:
                 lower = up @ np.where(x >= high, x, lists[0]).T + down @ np.where(x <= low, x, lists[-1]).T
-                # the own row may be among them: the next one is a sure bound
-                kth = np.partition(lower, n - k - 1, axis=1)[:, n - k - 1] if kind is not object else \
-                    np.sort(lower, axis=1)[:, n - k - 1]
+                for q, a, b in own:
+                    lower[q, a:b] = none
+                kth = np.partition(lower, n - k, axis=1)[:, n - k] if kind is not object else \
+                    np.sort(lower, axis=1)[:, n - k]
                 floor = np.maximum(threshold, kth)
             left = upper >= floor[:, None]
+            for q, a, b in own:
+                left[q, a:b] = False
             if depth == 1.0 or left.sum() <= FEW * left.size:
                 break
         qi, xi = np.nonzero(left)
         scores = np.empty(len(qi), dtype=np.int64 if kind is not object else object)
         for a in range(0, len(qi), 100_000):
             scores[a:a + 100_000] = (whole[qi[a:a + 100_000]] * x[xi[a:a + 100_000]]).sum(axis=1)
-        other = xid[xi] != query_ids[qi]
-        q = np.concatenate([known[0], qi[other]])
-        i = np.concatenate([known[1], xid[xi][other]])
-        s = np.concatenate([known[2], scores[other]])
+        q = np.concatenate([known[0], qi])
+        i = np.concatenate([known[1], xid[xi]])
+        s = np.concatenate([known[2], scores])
         o = np.lexsort((i, -s, q))
         q, i, s = q[o], i[o], s[o]
         first = np.searchsorted(q, np.arange(len(queries)))
@@ -93,7 +100,7 @@ def search(df: DataFrame, k: int = 20, scale: int = 64, every: int = 20, id_col:
     rows = df.where(fine & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"),
         F.transform(v, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long")).alias("v"))
-    rows = rows.distinct().withColumn("dim", F.size("v"))
+    rows = rows.distinct().withColumns({"dim": F.size("v"), "row": F.xxhash64("v")})
     is_query = F.col("id") % every == 0
     n, m = rows.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
     blocks, chunks = max(1, math.ceil(n / CANDIDATE_BLOCK)), max(1, math.ceil(m / QUERY_CHUNK))
@@ -109,11 +116,12 @@ def search(df: DataFrame, k: int = 20, scale: int = 64, every: int = 20, id_col:
         ids = t["id"].to_numpy()
         x = t["v"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         i, vec, s = best(x[q], ids[q], x[~q], ids[~q], k)
-        return pa.table({"query_id": pa.array(ids[q][i], pa.int64()), "vec_id": pa.array(vec, pa.int64()),
-                         "score": pa.array(s.astype(np.int64), pa.int64())})
+        return pa.table({"query_id": pa.array(ids[q][i], pa.int64()),
+                         "query_row": pa.array(t["row"].to_numpy()[q][i], pa.int64()),
+                         "vec_id": pa.array(vec, pa.int64()), "score": pa.array(s.astype(np.int64), pa.int64())})
 
     found = (spread.unionByName(asked).groupBy("dim", "chunk", "block")
-             .applyInArrow(run, "query_id long, vec_id long, score long"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .applyInArrow(run, "query_id long, query_row long, vec_id long, score long"))
+    w = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

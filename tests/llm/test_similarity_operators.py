@@ -180,6 +180,24 @@ def test_top_k_matches_brute_force(spark, monkeypatch, block, sizes):
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
 
 
+@pytest.mark.parametrize("block", [4096, 32, 20])
+def test_top_k_of_ids_with_several_vectors(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "LIST_BLOCK", block)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8)) for i in range(90)]
+    rows += [(i % 7 * 20, 5 * rng.normal(size=8)) for i in range(70)]       # queries with many long vectors
+    rows += [(31, rows[31][1] * 2), (32, rows[32][1] + 1), (20, rows[20][1])]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    fine = {(i, tuple(np.floor(64 * v).astype(int))) for i, v in rows}
+    want = Counter()
+    for q, u in fine:
+        if q % 20 == 0:
+            best = sorted((-int(np.dot(u, v)), i) for i, v in fine if i != q)[:20]
+            want.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
+    got = topk.search(df).collect()
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
+
+
 def test_bounds_with_large_integers():
     rng = np.random.default_rng(3)
     for top in (10, 10 ** 6, 10 ** 12):
