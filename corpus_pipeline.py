@@ -28,8 +28,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights; a document stands as often as it is taken."""
-    return mixing.materialise(mixing.assign(docs)).select(*docs.columns)
+    """Sources at their target weights; a document stands, whole, as often as it is taken."""
+    return mixing.materialise(mixing.assign(docs), whole=True).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

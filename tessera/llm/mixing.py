@@ -145,19 +145,25 @@ def assign(df: DataFrame, weights=WEIGHTS, total: float = 1.5, most: float = 2.0
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[f"mix_{k}" for k in keep])
 
 
-def materialise(assigned: DataFrame, text_col: str = "text") -> DataFrame:
+def materialise(assigned: DataFrame, text_col: str = "text", whole: bool = False) -> DataFrame:
     """The mixed rows: each document once per pass that takes words of it, with
     ``mix_shard`` and ``mix_order``; dealt to partitions by shard and hash and
-    shuffled there. The text of a cut document is its first words."""
+    shuffled there. The text of a cut document is its first words or, if
+    ``whole``, all of it: a first pass then ends with the whole document its run
+    ends in, and a second pass takes that document again if more than half of it
+    lies in the run. A source then has less than one document more than its run,
+    or half a document less in its second pass."""
     own = [c for c in assigned.columns if not c.startswith("mix_")]
     passes = F.array(F.struct(F.col("mix_first").alias("n"), F.col("mix_shard_first").alias("s"), F.lit(0).alias("p")),
                      F.struct(F.col("mix_again").alias("n"), F.col("mix_shard_again").alias("s"), F.lit(1).alias("p")))
     # a document without words is taken once
     ok = lambda x: (x["n"] > 0) | ((F.col("mix_size") == 0) & (x["p"] == 0))
+    if whole:
+        ok = lambda x: (x["p"] == 0) & ((x["n"] > 0) | (F.col("mix_size") == 0)) | (2 * x["n"] > F.col("mix_size"))
     out = assigned.withColumn("mix_pass", F.explode(F.filter(passes, ok)))
     n = F.col("mix_pass")["n"]
     text = F.col(f"`{text_col}`")
-    cut = F.array_join(F.slice(F.split(F.ltrim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " "),
+    cut = text if whole else F.array_join(F.slice(F.split(F.ltrim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " "),
                                F.lit(1), F.greatest(n, F.lit(1)).cast("int")), " ")
     out = out.withColumn(text_col, F.when(n >= F.col("mix_size"), text).otherwise(cut))
     out = out.withColumns({"mix_shard": F.col("mix_pass")["s"],

@@ -248,6 +248,28 @@ def test_mixture_meets_targets(docs, documents):
     assert {r.source: r.n for r in words} == {s: taken[s] for s in names}
 
 
+def test_mixture_of_whole_documents(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    rows = [(1, " long  text\n" * 3000, "one"), (2, "a  b\tc " * 50, "two"), (3, " d e\n" * 70, "two"), (4, "", "two")]
+    rows += [(10 + i, "w \n x " * int(rng.integers(1, 60)), f"s{i % 5}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts, size = {i: t for i, t, _ in rows}, {i: len(t.split()) for i, t, _ in rows}
+    plan = mixing.assign(df).collect()
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixture(spark, df, None).collect())
+    assert all(texts[i] == t for i, t in got) and max(got.values()) <= 2
+    assert any(0 < r.mix_taken % r.mix_size for r in plan if r.mix_size)            # some documents are cut
+    times, taken, words, most = Counter(i for i, _ in got.elements()), Counter(), Counter(), Counter()
+    for r in plan:
+        first = r.mix_first > 0 or not r.mix_size
+        assert times[r.doc_id] == first + (2 * r.mix_again > r.mix_size)
+        taken[r.source] += r.mix_taken
+        words[r.source] += times[r.doc_id] * size[r.doc_id]
+        most[r.source] = max(most[r.source], r.mix_size)
+    assert all(abs(words[s] - taken[s]) < most[s] for s in taken)
+
+
 def test_splitting_tree_is_exact():
     q = np.array([5, 0, 17, 100, 1])
     out = mixing.split_quotas(q, 7, seed=3)
