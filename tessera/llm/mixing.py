@@ -145,10 +145,10 @@ def assign(df: DataFrame, weights=WEIGHTS, total: float = 1.5, most: float = 2.0
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[f"mix_{k}" for k in keep])
 
 
-def materialise(assigned: DataFrame, text_col: str = "text", whole: bool = False) -> DataFrame:
+def materialise(assigned: DataFrame, text_col: str = "text", whole: bool = False, shards: int = 8) -> DataFrame:
     """The mixed rows: each document once per pass that takes words of it, with
-    ``mix_shard`` and ``mix_order``; dealt to partitions by shard and hash and
-    shuffled there. The text of a cut document is its first words or, if
+    ``mix_shard`` and ``mix_order``; dealt to partitions by ranges of both, so
+    that a partition holds one of the ``shards`` only, and shuffled there. The text of a cut document is its first words or, if
     ``whole``, all of it: a first pass then ends with the whole document its run
     ends in, and a second pass takes that document again if more than half of it
     lies in the run. A source then has less than one document more than its run,
@@ -169,6 +169,10 @@ def materialise(assigned: DataFrame, text_col: str = "text", whole: bool = False
     out = out.withColumns({"mix_shard": F.col("mix_pass")["s"],
                            "mix_order": F.md5(F.concat(F.col("mix_order"), F.col("mix_pass")["p"].cast("string")))})
     out = out.select(*[F.col(f"`{c}`") for c in own], "mix_shard", "mix_order")
-    return (out.repartition("mix_shard", F.substring("mix_order", 1, 2))
+    # orders are md5 sums: equal ranges of their first digits hold about as many rows
+    per = max(1, math.ceil(int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")) / shards))
+    first = F.conv(F.substring("mix_order", 1, 6), 16, 10).cast("long")
+    part = F.col("mix_shard") * F.lit(per) + F.floor(first * F.lit(per) / F.lit(16 ** 6))
+    return (out.repartitionById(shards * per, part.cast("int"))
             .sortWithinPartitions("mix_shard", "mix_order"))
 

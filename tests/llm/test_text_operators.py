@@ -270,6 +270,18 @@ def test_mixture_of_whole_documents(spark):
     assert all(abs(words[s] - taken[s]) < most[s] for s in taken)
 
 
+@pytest.mark.parametrize("shards", [8, 3])
+def test_partitions_of_the_mixture_hold_one_shard(docs, shards):
+    mixed = mixing.materialise(mixing.assign(docs, shards=shards), shards=shards)
+    rows = mixed.select(F.spark_partition_id().alias("part"), "mix_shard", "mix_order").collect()
+    of = defaultdict(set)
+    for r in rows:
+        of[r.part].add(r.mix_shard)
+    assert all(len(s) == 1 for s in of.values()) and {r.mix_shard for r in rows} == set(range(shards))
+    rows.sort(key=lambda r: r.part)
+    assert [(r.mix_shard, r.mix_order) for r in rows] == sorted((r.mix_shard, r.mix_order) for r in rows)
+
+
 def test_splitting_tree_is_exact():
     q = np.array([5, 0, 17, 100, 1])
     out = mixing.split_quotas(q, 7, seed=3)
