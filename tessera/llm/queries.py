@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import licences, mixing, packing, records, rules, sharding, shingle_join, token_counts, topk
-from tessera.llm import vector_dedup
+from tessera.llm import conversations, licences, line_dedup, mixing, packing, records, resample, rules, sharding
+from tessera.llm import shingle_join, token_counts, topk, vector_dedup
 from tessera.llm.common import table
 from tessera.session import scratch_path
 
@@ -79,3 +79,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = rules.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return rules.apply(docs, model).select("doc_id", rules.held_out(F.col("doc_id")).alias("held_out"),
                                            "score", "predicted")
+
+
+@query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resample.resample(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             table(spark, sf_dir, "benchmark", "text"),
+                             most=2, buckets=10_000, min_words=20, percent=25, seed=7)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair(conversations.damage(turns))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = line_dedup.LineIndex(spark, min_docs=3, min_chars=20)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    index.insert(docs)
+    return index.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
