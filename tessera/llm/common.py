@@ -24,6 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named by their places, and that name of each, so
+    that no column clashes with those an operator adds."""
+    names = {c: f"__c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def free_prefix(wanted: str, columns) -> str:
+    """``wanted`` with underscores before it until no column begins with it."""
+    while any(c.lower().startswith(wanted) for c in columns):
+        wanted = "_" + wanted
+    return wanted
+
+
 def text_slices(col, limit: int = SLICE_BYTES):
     """Yield (start, stop) row ranges of an Arrow string column whose texts hold
     about ``limit`` bytes; one row above the limit is a range of its own."""

@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_prefix, positional
 from tessera.session import scratch_path
 
 BUCKET_ROWS = 256       # rows aimed at for one md5 prefix of one source
@@ -86,12 +87,15 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
 def assign(df: DataFrame, weights=WEIGHTS, total: float = 1.5, most: float = 2.0, shards: int = 8,
            blocks_per_shard: int = 64, seed: int = 11, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source") -> DataFrame:
-    """All columns of ``df`` and, under the prefix ``mix_``: size, source_size,
-    target, taken (words over all passes), first and again (words of the first
-    and the second pass), shard_first, shard_again, order (local shuffle key)."""
+    """All columns of ``df`` and, under the prefix ``mix_`` (with more underscores
+    before it if a column of ``df`` begins so): size, source_size, target, taken
+    (words over all passes), first and again (words of the first and the second
+    pass), shard_first, shard_again, order (local shuffle key)."""
     if most > 2:
         raise ValueError("a document is taken twice at most")
-    spark = df.sparkSession
+    spark, prefix = df.sparkSession, free_prefix("mix_", df.columns)
+    df, names = positional(df)
+    id_col, text_col, source_col = names[id_col], names[text_col], names[source_col]
     key = F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(
         F.concat(F.lit("s"), F.col(source_col).cast("string")))
     doc = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
@@ -142,18 +146,23 @@ def assign(df: DataFrame, weights=WEIGHTS, total: float = 1.5, most: float = 2.0
                            "mix_order": F.md5(F.concat(F.col("mix_place"), F.lit("/"), F.col("mix_tie")))})
     out = out.withColumn("mix_taken", F.col("mix_first") + F.col("mix_again"))
     keep = ["size", "source_size", "target", "taken", "first", "again", "shard_first", "shard_again", "order"]
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[f"mix_{k}" for k in keep])
+    return out.select(*[F.col(h).alias(c) for c, h in names.items()],
+                      *[F.col(f"mix_{k}").alias(prefix + k) for k in keep])
 
 
 def materialise(assigned: DataFrame, text_col: str = "text", whole: bool = False, shards: int = 8) -> DataFrame:
-    """The mixed rows: each document once per pass that takes words of it, with
-    ``mix_shard`` and ``mix_order``; dealt to partitions by ranges of both, so
+    """The mixed rows of ``assign``: each document once per pass that takes words of
+    it, with shard and order under its prefix; dealt to partitions by ranges of both, so
     that a partition holds one of the ``shards`` only, and shuffled there. The text of a cut document is its first words or, if
     ``whole``, all of it: a first pass then ends with the whole document its run
     ends in, and a second pass takes that document again if more than half of it
     lies in the run. A source then has less than one document more than its run,
     or half a document less in its second pass."""
-    own = [c for c in assigned.columns if not c.startswith("mix_")]
+    prefix = assigned.columns[-1][:-len("order")]
+    added = {c: f"mix_{c[len(prefix):]}" for c in assigned.columns if c.startswith(prefix)}
+    own = {c: f"__c{i}" for i, c in enumerate(c for c in assigned.columns if c not in added)}
+    text_col = own[text_col]
+    assigned = assigned.select(*[F.col(f"`{c}`").alias(h) for c, h in {**own, **added}.items()])
     passes = F.array(F.struct(F.col("mix_first").alias("n"), F.col("mix_shard_first").alias("s"), F.lit(0).alias("p")),
                      F.struct(F.col("mix_again").alias("n"), F.col("mix_shard_again").alias("s"), F.lit(1).alias("p")))
     # a document without words is taken once
@@ -168,11 +177,11 @@ def materialise(assigned: DataFrame, text_col: str = "text", whole: bool = False
     out = out.withColumn(text_col, F.when(n >= F.col("mix_size"), text).otherwise(cut))
     out = out.withColumns({"mix_shard": F.col("mix_pass")["s"],
                            "mix_order": F.md5(F.concat(F.col("mix_order"), F.col("mix_pass")["p"].cast("string")))})
-    out = out.select(*[F.col(f"`{c}`") for c in own], "mix_shard", "mix_order")
+    out = out.select(*own.values(), "mix_shard", "mix_order")
     # orders are md5 sums: equal ranges of their first digits hold about as many rows
     per = max(1, math.ceil(int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")) / shards))
     first = F.conv(F.substring("mix_order", 1, 6), 16, 10).cast("long")
     part = F.col("mix_shard") * F.lit(per) + F.floor(first * F.lit(per) / F.lit(16 ** 6))
-    return (out.repartitionById(shards * per, part.cast("int"))
-            .sortWithinPartitions("mix_shard", "mix_order"))
+    out = out.repartitionById(shards * per, part.cast("int")).sortWithinPartitions("mix_shard", "mix_order")
+    return out.toDF(*own, prefix + "shard", prefix + "order")
 

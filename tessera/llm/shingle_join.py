@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_column, text_slices
+from tessera.llm.common import batch_column, positional, text_slices
 from tessera.llm.graph import components
 from tessera.llm.shingles import mix, set_id, shingle_sets
 from tessera.session import scratch_path
@@ -353,7 +353,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
         raise ValueError("percent must be above 50 and at most 100")
     spark = df.sparkSession
     bits = min(30, range_bits(spark))
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     src = src.withColumn("th", F.xxhash64("text"))
 
     def kept(frame: DataFrame, name: str) -> DataFrame:
@@ -493,16 +493,18 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
              length: int = 5) -> DataFrame:
     """The rows of ``df``, all columns, of which one of each group of linked texts
     stays: the one with the smallest id. Texts without words all stay."""
-    joined = join(df, id_col, text_col, percent, length).where("n_shingles > 0")
+    plain, names = positional(df)
+    id_col, text_col = names[id_col], names[text_col]
+    joined = join(plain, id_col, text_col, percent, length).where("n_shingles > 0")
     # texts with a null id only form a group by their set
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("set "), F.col("set_id")))
     one = joined.groupBy(group.alias("g")).agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
-    one = one.select(F.col("k.doc_id").alias("__keep_id"), F.col("k.text_hash").alias("__keep_text"))
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    one = one.select(F.col("k.doc_id").alias("keep_id"), F.col("k.text_hash").alias("keep_text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     worded = text.rlike(r"[^\x20\x09-\x0D]")
-    full = df.where(worded).withColumn("__text", F.xxhash64(F.col(f"`{text_col}`").cast("string")))
-    full = full.withColumn("__id", F.col(f"`{id_col}`").cast("long"))
-    full = full.join(one, (F.col("__text") == F.col("__keep_text")) & F.col("__id").eqNullSafe(F.col("__keep_id")),
-                     "left_semi").dropDuplicates(["__text", "__id"]).drop("__text", "__id")
-    return full.unionByName(df.where(~worded))
+    full = plain.where(worded).withColumn("own_text", F.xxhash64(F.col(text_col).cast("string")))
+    full = full.withColumn("own_id", F.col(id_col).cast("long"))
+    full = full.join(one, (F.col("own_text") == F.col("keep_text")) & F.col("own_id").eqNullSafe(F.col("keep_id")),
+                     "left_semi").dropDuplicates(["own_text", "own_id"]).drop("own_text", "own_id")
+    return full.unionByName(plain.where(~worded)).toDF(*names)

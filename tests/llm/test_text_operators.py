@@ -292,7 +292,7 @@ def test_rules_learn_quality(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     model = rules.fit(docs, labels)
-    assert 0 < len(model.rules) <= rules.MAX_RULES
+    assert 0 < len(model.rules) <= model.rows // rules.ROWS_A_RULE
     out = rules.apply(docs, model).withColumn("out", rules.held_out(F.col("doc_id"))).join(
         labels.select("doc_id", "quality"), "doc_id").where("out")
     right, n, kept = out.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int")), F.count("*"),
@@ -308,9 +308,36 @@ def test_rules_on_awkward_rows(docs, documents):
     assert out.count() == len(documents)
 
 
+def test_compiled_rules_match_numpy(spark, docs):
+    folder = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    model = rules.fit(table, spark.read.parquet(f"{folder}/labels.parquet"))
+    for df in (table, docs):
+        stats = rules.statistics(F.col("text"))
+        got = rules.apply(df.withColumns(stats), model).select(*stats, "score", "predicted").collect()
+        x = np.array([[r[k] for k in stats] for r in got])
+        z = np.full(len(x), model.intercept)
+        for rule in model.rules:
+            z += rule.weight * rules.covers(rule, x, list(stats))
+        want = 1 / (1 + np.exp(-z))
+        assert np.allclose([r.score for r in got], want, rtol=1e-12)
+        assert [r.predicted for r in got] == [int(w >= 0.5) for w in want]
+
+
+def test_penalty_is_chosen_and_kept():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 4))
+    y = ((x[:, 0] > 1.2) | (x[:, 2] < -1)).astype(float)
+    model = rules.fit_rules(x, y, list("abcd"))
+    z = model.intercept + sum(r.weight * rules.covers(r, x, list("abcd")) for r in model.rules)
+    assert ((z >= 0) == (y > 0)).mean() > 0.97 and len(model.rules) <= 60
+    noise = rules.fit_rules(x, (rng.random(600) < 0.5).astype(float), list("abcd"))
+    assert abs(np.mean([r.weight for r in noise.rules] or [0])) < 0.5
+
+
 def test_rules_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
-    assert rules.fit(docs, none).score() is not None
+    assert rules.apply(docs, rules.fit(docs, none)).where('score != 0.5').isEmpty()
     one = spark.createDataFrame([(-2, 1), (-3, None)], "doc_id long, quality int")
     assert not rules.fit(docs, one).rules
 
