@@ -3,6 +3,7 @@ batches, and an exact cached tokenizer front end for space-separated items."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import struct
 
@@ -15,7 +16,7 @@ from tessera.session import ship_package
 
 SLICE_BYTES = 8 << 20      # text handled at once inside a task
 ENDS = (".", ",")
-CACHE_ITEMS = 400_000      # entries per cache generation; two generations are kept
+CACHE_BYTES = 48 << 20     # of a cache generation, objects included; two generations are kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -24,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def given_back(batches):
+    """The batches of a task; at its end memory that is free goes back to the
+    system, since workers live on and share an executor's."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
+
+
 def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with its columns named by their places, and that name of each, so
     that no column clashes with those an operator adds."""
@@ -60,8 +72,8 @@ class TwoGenerations:
     """A bounded cache: a full young generation becomes the old one, and what is
     used again moves back to the young one."""
 
-    def __init__(self, size: int = CACHE_ITEMS):
-        self.size, self.young, self.old = size, {}, {}
+    def __init__(self, size: int = CACHE_BYTES):
+        self.size, self.held, self.young, self.old = size, 0, {}, {}
 
     def get(self, key):
         v = self.young.get(key)
@@ -72,9 +84,10 @@ class TwoGenerations:
         return v
 
     def put(self, key, value):
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
+        if self.held >= self.size:
+            self.old, self.young, self.held = self.young, {}, 0
         self.young[key] = value
+        self.held += 180 + len(key) + (len(value) if isinstance(value, bytes) else 0)
 
 
 class ItemTokenizer:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ItemTokenizer, batch_column, text_slices
+from tessera.llm.common import ItemTokenizer, batch_column, given_back, text_slices
 
 POOL_TOKENS = 2_000_000     # waiting tokens of a task before sequences are filled
 
@@ -200,4 +200,4 @@ def pack_documents(df: DataFrame, path: str, end_id: int | None = 0, max_tokens:
 
     schema = (f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
               f"offset long, loss_tokens long" + (", ids binary" if with_ids else ""))
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lambda batches: given_back(run(batches)), schema)

@@ -14,13 +14,16 @@ The boundary is chosen by cost: the largest size for which enumerating subsets
 is no dearer than scanning lists of the measured mean length.
 
 Equal sets are one set. Lists of at most ``SHORT`` sets give their pairs. Longer
-lists (boiler plate, large groups of near copies) give the pairs of a leader with
+lists (boiler plate, large groups of near copies) give the pairs of two leaders with
 every member; after verification, sets that are still apart in some list are
-compared again with other leaders, and in the end all pairs of a list that lie
-in different components, and could reach the similarity if the list's element is
-the first they share, are verified. So every link between components is found,
-and pairs inside a component that cannot change the result are not listed.
-Candidates are verified on the whole sets.
+compared again with other leaders. What is then left in different components of a
+list is set against each other in blocks, by exact sizes, by the places of the
+list's element (were it the first they share, what can still be common) and by
+parity sketches, which bound from below what only one of two sets has. These
+bounds refuse no true pair and leave little more than the links: only what passes
+becomes a row and is verified. So every link between components is found, and pairs
+inside a component that cannot change the result are not listed. Candidates pass
+the sketches first and are then verified on the whole sets.
 
 What is broadcast is bounded: the frequent shingles (``MAX_FREQUENT``; the
 frequency they start at rises with the corpus) and, if their number allows, the
@@ -41,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_column, positional, text_slices
+from tessera.llm.common import batch_column, given_back, positional, text_slices
 from tessera.llm.graph import components
 from tessera.llm.shingles import mix, set_id, shingle_sets
 from tessera.session import scratch_path
@@ -50,10 +53,13 @@ SHORT = 8                    # sets of a list whose pairs are all candidates
 MAX_FREQUENT = 1 << 20       # shingles kept as frequent (8 bytes each)
 MAX_BROADCAST_IDS = 1 << 20  # ids of texts sent to every executor, at most
 FEW_PAIRS = 200_000          # pairs between components that are listed without another round
-FLUSH = 3_000_000            # hashes gathered in a task before they are written
+FLUSH = 1_000_000            # hashes gathered in a task before they are written
 SLICE = 4 << 20
-STAR_ROUNDS = 1              # further rounds with other leaders, at most
+SALTS = 16                   # tasks that the members of a list are dealt to
+BLOCK = 4096                 # members of a list that are set against as many others in one task
+STAR_ROUNDS = 0              # rounds with other leaders before the rest is set against each other, at most
 HALF = np.uint64(1 << 63)
+SKETCH = 512                 # bits of a set's parity sketch
 
 
 def needed(n, percent: int):
@@ -83,6 +89,10 @@ def _blobs(value: np.ndarray, rest: int, extra=None):
         yield int(ranges[a]), b"".join(c[a:b].tobytes() for c in cols)
 
 
+def _trimmed(run):
+    return lambda batches: given_back(run(batches))
+
+
 def _count_map(bits: int, length: int):
     shift = np.uint64(31 - bits)
 
@@ -320,9 +330,41 @@ def _posting_reduce(percent: int):
     return run
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """The parity of the number of hashes that fall on each of ``SKETCH`` bits, as
+    longs. Where two sketches differ, one set has a hash that the other has not."""
+    odd = np.bincount((h & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
+
+
+def _not_far(p, q, percent: int):
+    """Whether two sets may reach the similarity by their exact sizes and sketches:
+    sets of n and m at that similarity have at most (n + m)(100 - percent) / (100 +
+    percent) hashes that only one of them has. No true pair is refused."""
+    apart = F.lit(0)
+    for k in SKETCHES:
+        apart = apart + F.bit_count(p(k).bitwiseXOR(q(k)))
+    return ((100 * F.least(p("n"), q("n")) >= percent * F.greatest(p("n"), q("n")))
+            & (apart * (100 + percent) <= (p("n") + q("n")) * (100 - percent)))
+
+
+def _fits(p, q, percent: int):
+    """``_may_match`` with exact sizes and places, and the sketches."""
+    most = F.least(p("n") - p("place"), q("n") - q("place"))
+    return (most * (100 + percent) >= (p("n") + q("n")) * percent) & _not_far(p, q, percent)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids whose similarity reaches the percentage."""
-    both = (pairs.join(sets.select(F.col("sig").alias("a"), F.col("blob").alias("ha")), "a")
+    def marked(side: str) -> DataFrame:
+        return sets.select(F.col("sig").alias(side), F.struct("n", *SKETCHES).alias(f"m{side}"))
+
+    near = pairs.select("a", "b").join(marked("a"), "a").join(marked("b"), "b")
+    near = near.where(_not_far(lambda c: F.col("ma")[c], lambda c: F.col("mb")[c], percent)).select("a", "b")
+    both = (near.join(sets.select(F.col("sig").alias("a"), F.col("blob").alias("ha")), "a")
             .join(sets.select(F.col("sig").alias("b"), F.col("blob").alias("hb")), "b"))
 
     def run(batches):
@@ -342,7 +384,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch_column(batch, "a").take(at), batch_column(batch, "b").take(at)],
                                              names=["a", "b"])
 
-    return both.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "ha", "hb").mapInArrow(_trimmed(run), "a long, b long")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
@@ -363,7 +405,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
 
     # 1. set identity per text, and in how many texts each shingle stands
     counted = kept(
-        src.mapInArrow(_count_map(bits, length), "range int, doc_id long, th long, n long, sig long, blob binary")
+        src.mapInArrow(_trimmed(_count_map(bits, length)), "range int, doc_id long, th long, n long, sig long, blob binary")
         .groupBy("range").applyInArrow(_count_reduce, "doc_id long, th long, n long, sig long, class int, keys long, "
                                                       "uses long, squares long, blob binary"), "shingles")
     docs = counted.where("class is null").select("doc_id", "th", "n", "sig")
@@ -396,13 +438,18 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
 
     # 3. postings and the candidates of their lists
     found = kept(
-        src.select("text").mapInArrow(_posting_map(order, bits, length, percent, border),
+        src.select("text").mapInArrow(_trimmed(_posting_map(order, bits, length, percent, border)),
                                       "range int, frequent boolean, blob binary")
         .groupBy("range").applyInArrow(_posting_reduce(percent), "long boolean, x long, y long, size int, place int"), "lists")
     lists = kept(found.where("long").select("x", F.col("y").alias("set"), "size", "place").distinct(), "long")
 
     steps = math.ceil(math.log(100 / percent) / math.log(1.02)) + 1      # sizes that can match
 
+    def salted(rows: DataFrame, every: bool = False) -> DataFrame:
+        """With the salt of a member, or once for every salt: no list in one task."""
+        return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))) if every else
+                               F.pmod(F.xxhash64("set"), F.lit(SALTS)).cast("int"))
+
     def stars(members: DataFrame, turn: int) -> DataFrame:
         """Pairs of two leaders of each list with its members in other components."""
         def lead(k):
@@ -410,8 +457,16 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
             by = F.xxhash64("set", F.lit(k)) if turn == 0 else F.xxhash64("set", "x", F.lit(k))
             return F.min(F.struct(by.alias("r"), "set", "size", "component"))
 
-        leads = members.groupBy("x").agg(F.array(lead(2 * turn), lead(2 * turn + 1)).alias("leads"))
-        both = members.join(leads, "x").select("set", "size", "component", F.explode("leads").alias("lead"))
+        first = lead(2 * turn)
+        if turn == 0:
+            # the member with the smallest share of shingles before the list's own links with most others
+            share = F.round(F.col("place") / F.pow(F.lit(1.02), F.col("size")), 2)
+            first = F.min(F.struct(share.alias("s"), F.xxhash64("set").alias("r"), "set", "size", "component"))
+            first = F.struct(first["r"].alias("r"), first["set"].alias("set"), first["size"].alias("size"),
+                             first["component"].alias("component"))
+        leads = members.groupBy("x").agg(F.array(first, lead(2 * turn + 1)).alias("leads"))
+        both = salted(members).join(salted(leads, True), ["x", "salt"])
+        both = both.select("set", "size", "component", F.explode("leads").alias("lead"))
         both = both.where((F.col("lead.component") != F.col("component"))
                           & (F.abs(F.col("lead.size") - F.col("size")) <= F.lit(steps)))
         return both.select(F.least("lead.set", "set").alias("a"), F.greatest("lead.set", "set").alias("b")).distinct()
@@ -437,10 +492,15 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
             text = batch_column(batch, "text")
             for a, b in text_slices(text, SLICE):
                 sets = [h for h in shingle_sets(text.slice(a, b - a), length) if len(h)]
-                yield pa.RecordBatch.from_pydict({"sig": pa.array([set_id(h) for h in sets], pa.int64()),
-                                                  "blob": pa.array([h.tobytes() for h in sets], pa.binary())})
+                marks = np.array([sketch(h) for h in sets], dtype=np.int64).reshape(len(sets), len(SKETCHES))
+                yield pa.RecordBatch.from_pydict({
+                    "sig": pa.array([set_id(h) for h in sets], pa.int64()),
+                    "n": pa.array([len(h) for h in sets], pa.int64()),
+                    **{k: pa.array(marks[:, i]) for i, k in enumerate(SKETCHES)},
+                    "blob": pa.array([h.tobytes() for h in sets], pa.binary())})
 
-    sets = kept(texts.mapInArrow(whole, "sig long, blob binary"), "whole")
+    sets = kept(texts.mapInArrow(_trimmed(whole), f"sig long, n long, {', '.join(f'{k} long' for k in SKETCHES)}, blob binary"),
+                "whole")
     links = kept(_verify(pairs, sets, percent), "links")
     comp = kept(components(links), "components")
 
@@ -459,13 +519,19 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
         left = seen.get
         if not left["pairs"]:
             break
-        members = members.join(apart.select("x"), "x", "left_semi")
+        members = salted(members).join(salted(apart.select("x", "m"), True), ["x", "salt"]).drop("salt")
         last = turn > STAR_ROUNDS or left["pairs"] <= max(4 * left["sets"], FEW_PAIRS)
         if last:
-            p, q = members.alias("p"), members.alias("q")
-            near = _may_match(F.col("p.size"), F.col("p.place"), F.col("q.size"), F.col("q.place"), percent,
-                              F.least, lambda base, z: F.pow(F.lit(base), z))
-            more = p.join(q, (F.col("p.x") == F.col("q.x")) & (F.col("p.component") < F.col("q.component")) & near)
+            members = members.join(sets.select(F.col("sig").alias("set"), "n", *SKETCHES), "set")
+            # a long list is cut into blocks, and each pair of blocks is a group of its own
+            blocks = F.ceil(F.col("m") / F.lit(BLOCK))
+            members = members.withColumn("own", F.pmod(F.xxhash64("set", F.lit(1)), blocks))
+            other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+            p = members.withColumn("i", F.col("own")).withColumn("j", other).alias("p")
+            q = members.withColumn("j", F.col("own")).withColumn("i", other).alias("q")
+            near = _fits(lambda c: F.col(f"p.{c}"), lambda c: F.col(f"q.{c}"), percent)
+            same = (F.col("p.x") == F.col("q.x")) & (F.col("p.i") == F.col("q.i")) & (F.col("p.j") == F.col("q.j"))
+            more = p.join(q, same & (F.col("p.component") < F.col("q.component")) & near)
             more = more.select(F.least("p.set", "q.set").alias("a"), F.greatest("p.set", "q.set").alias("b")).distinct()
         else:
             more = stars(members, turn)

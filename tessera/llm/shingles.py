@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SEGMENT = 4 << 20          # bytes hashed at once; segments end at white space
+SEGMENT = 1 << 20          # bytes hashed at once; segments end at white space
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: list = [None, None]

@@ -97,6 +97,56 @@ def test_shingle_join_matches_brute_force(spark, monkeypatch, short, frequent, r
     check_join(spark, corpus())
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "SHORT", 2)
+    monkeypatch.setattr(shingle_join, "BLOCK", 5)
+    check_join(spark, corpus())
+
+
+def test_a_shared_passage_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Texts that share a passage and link with nothing, and near copies that miss
+    the similarity: what is verified follows the number of texts."""
+    verified = []
+    verify = shingle_join._verify
+
+    def counted(pairs, sets, percent):
+        verified.append(pairs.count())
+        return verify(pairs, sets, percent)
+
+    monkeypatch.setattr(shingle_join, "_verify", counted)
+    for kind in (0, 1):
+        counts = []
+        for n in (250, 1000):
+            rng = np.random.default_rng(n)
+            passage = [f"p{k}" for k in range(120)]
+            texts = []
+            for i in range(n):
+                if kind == 0:
+                    t = passage + [f"o{i}x{k}" for k in range(int(rng.integers(24, 60)))]
+                else:
+                    t = [f"e{i}x{k}" if rng.random() < 0.045 else w for k, w in enumerate(passage)]
+                texts.append((i, " ".join(t)))
+            verified.clear()
+            links = shingle_join.join(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+            counts.append(sum(verified))
+            assert len(links) == n
+        assert counts[1] < 8 * counts[0] + 1000
+
+
+def test_sketches_refuse_no_true_pair():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        n = int(rng.integers(1, 900))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        b = a.copy()
+        b[:int(rng.integers(0, n))] = rng.integers(0, 1 << 63)
+        b = np.unique(np.concatenate([b, rng.integers(0, 1 << 63, int(rng.integers(0, 99)), dtype=np.uint64)]))
+        a = np.unique(a)
+        only = len(np.setxor1d(a, b))
+        apart = int(np.bitwise_count((shingle_join.sketch(a) ^ shingle_join.sketch(b)).view(np.uint64)).sum())
+        assert apart <= only
+
+
 def test_keep_one_of_each_group(spark):
     rows = corpus()
     df, root, sets = check_join(spark, rows)
