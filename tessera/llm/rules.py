@@ -36,11 +36,10 @@ LEVELS = np.unique(np.concatenate([np.arange(1, 32) / 32, TAILS, 1 - TAILS]))
 BINS = len(LEVELS) + 1
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """The statistics of a text, by name; 0 where there is nothing to count."""
+def counts(text: Column) -> dict[str, Column]:
+    """What is counted in a text, by name."""
     t = F.coalesce(text.cast("string"), F.lit(""))
     size = F.octet_length(t).cast("double")
-    n = F.greatest(F.char_length(t), F.lit(1)).cast("double")
 
     def of(marks: str) -> Column:
         """How often the ASCII characters of ``marks`` stand in the text."""
@@ -52,22 +51,24 @@ def statistics(text: Column) -> dict[str, Column]:
     def only(kept: str) -> Column:
         return F.char_length(F.regexp_replace(t, f"[^{kept}]+", "")).cast("double")
 
-    words = of(" \n\t") + 1.0
     # a word that stands again right after itself; possessive, so linear in the text
     again = F.regexp_count(t, F.lit(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D](?=\1(?![^\x20\x09-\x0D]))"))
-    return {
-        "log_chars": F.log(n),
-        "word_chars": n / words,
-        "upper": only(r"\p{Lu}") / words,
-        "digits": only("0-9") / words,
-        "marks": of("!?") / words,
-        "symbols": of("#$%&*@^~=_<>{}[]") / words,
-        "bars": of("|") / words,
-        "stops": of(".") / words,
-        "commas": of(",;:") / words,
-        "lines": of("\n") / words,
-        "repeats": again.cast("double") / words,
-    }
+    return {"chars": F.greatest(F.char_length(t), F.lit(1)).cast("double"), "words": of(" \n\t") + 1.0,
+            "upper": only(r"\p{Lu}"), "digits": only("0-9"), "marks": of("!?"), "symbols": of("#$%&*@^~=_<>{}[]"),
+            "bars": of("|"), "stops": of("."), "commas": of(",;:"), "lines": of("\n"), "repeats": again.cast("double")}
+
+
+def shares(found) -> dict[str, Column]:
+    """The statistics from the counts, which ``found`` gives by name."""
+    out = {"log_chars": F.log(found("chars")), "word_chars": found("chars") / found("words")}
+    for k in ("upper", "digits", "marks", "symbols", "bars", "stops", "commas", "lines", "repeats"):
+        out[k] = found(k) / found("words")
+    return out
+
+
+def statistics(text: Column) -> dict[str, Column]:
+    """The statistics of a text, by name; 0 where there is nothing to count."""
+    return shares(counts(text).__getitem__)
 
 
 @dataclass
@@ -76,7 +77,7 @@ class Rule:
     bounds: dict[str, tuple[float, float]]
     weight: float = 0.0
 
-    def column(self, stats: Column) -> Column:
+    def column(self, stats: dict[str, Column]) -> Column:
         parts = []
         for name, (lo, hi) in sorted(self.bounds.items()):
             if np.isfinite(lo):
@@ -96,17 +97,16 @@ class RuleModel:
     rows: int = 0
 
     def score(self, text: Column) -> Column:
-        """The probability of label 1 of a text. The statistics are one value that
-        a lambda takes, so wherever the column is put they are computed once."""
-        stats = F.struct(*[c.alias(k) for k, c in statistics(text).items()])
-
+        """The probability of label 1 of a text. Its counts are one value that a
+        lambda takes, so wherever the column is put they are made once."""
         def logistic(s: Column) -> Column:
+            stats = shares(lambda k: s[k])
             z = F.lit(float(self.intercept))
             for r in self.rules:
-                z = z + F.when(r.column(s), F.lit(float(r.weight))).otherwise(F.lit(0.0))
+                z = z + F.when(r.column(stats), F.lit(float(r.weight))).otherwise(F.lit(0.0))
             return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
-        return F.transform(F.array(stats), logistic)[0]
+        return F.transform(F.array(F.struct(*[c.alias(k) for k, c in counts(text).items()])), logistic)[0]
 
 
 def grow(codes: np.ndarray, target: np.ndarray, at: np.ndarray, depth: int, box: dict, out: list) -> list:

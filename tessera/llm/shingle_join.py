@@ -441,6 +441,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent:
         src.select("text").mapInArrow(_trimmed(_posting_map(order, bits, length, percent, border)),
                                       "range int, frequent boolean, blob binary")
         .groupBy("range").applyInArrow(_posting_reduce(percent), "long boolean, x long, y long, size int, place int"), "lists")
+    order.unpersist()
     lists = kept(found.where("long").select("x", F.col("y").alias("set"), "size", "place").distinct(), "long")
 
     steps = math.ceil(math.log(100 / percent) / math.log(1.02)) + 1      # sizes that can match
