@@ -45,11 +45,27 @@ def rows_elementwise(a: DataFrame, b: DataFrame, keys: Sequence[str], op: str,
     fns = {"add": lambda p, q: p + q, "sub": lambda p, q: p - q, "mul": lambda p, q: p * q}
     if op not in fns:
         raise ValueError(f"unknown element-wise op {op!r}")
-    j = a.select(*keys, F.col(x).alias("_a")).join(b.select(*keys, F.col(x).alias("_b")), list(keys), "full_outer")
+    j = _paired(a.select(*keys, F.col(x).alias("_v")), b.select(*keys, F.col(x).alias("_v")), list(keys))
     one = F.zip_with(of_width(F.col("_a"), width_a), of_width(F.col("_b"), width_b), fns[op])
     return j.select(*keys, one.alias(x))
 
 
+def _paired(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _a, _b) from two tables (keys, _v), by one shuffle of both. A key
+    that stands twice in one table, or in one of them only, fails the job."""
+    none = F.lit(None).cast(a.schema["_v"].dataType)
+    both = (a.select(*keys, F.col("_v").alias("_a"), none.alias("_b"), F.lit(1).alias("_na"), F.lit(0).alias("_nb"))
+            .unionByName(b.select(*keys, none.alias("_a"), F.col("_v").alias("_b"), F.lit(0).alias("_na"),
+                                  F.lit(1).alias("_nb"))))
+    one = both.groupBy(*keys).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"), F.sum("_na").alias("_na"),
+                                  F.sum("_nb").alias("_nb"))
+    bad = F.raise_error(F.when((F.col("_na") > 1) | (F.col("_nb") > 1), F.lit("shape mismatch: a key stands twice"))
+                        .otherwise(F.lit("shape mismatch: a row or cell is missing on one side")))
+    fit = (F.col("_na") == 1) & (F.col("_nb") == 1)
+    return one.select(*keys, *[F.when(fit, F.col(c)).otherwise(bad.cast(a.schema["_v"].dataType)).alias(c)
+                               for c in ("_a", "_b")])
+
+
 def of_width(x: Column, width: int) -> Column:
     """The array, if it is there and has the declared width; else the job fails."""
     return F.when(F.size(x) == width, x).otherwise(F.raise_error(F.lit(
@@ -213,15 +229,14 @@ def fill_cells(spark: SparkSession, rows: int, cols: int, value: float = 0.0,
 
 
 def cells_elementwise(a: DataFrame, b: DataFrame, op: str, keys: Sequence[str] = ("i", "j")) -> DataFrame:
-    """Cells of equal shape; a cell that only one side has fails the job."""
+    """Cells of equal shape; a cell that only one side has, or that one has twice,
+    fails the job."""
     fns = {"add": lambda p, q: p + q, "sub": lambda p, q: p - q, "mul": lambda p, q: p * q}
     if op not in fns:
         raise ValueError(f"unknown element-wise op {op!r}")
-    j = (a.select(*keys, F.col("v").alias("_a"), F.lit(True).alias("_in_a"))
-         .join(b.select(*keys, F.col("v").alias("_b"), F.lit(True).alias("_in_b")), list(keys), "full_outer"))
-    lost = F.raise_error(F.lit("shape mismatch: a cell is missing on one side")).cast("double")
-    return j.select(*keys, F.when(F.col("_in_a").isNull() | F.col("_in_b").isNull(), lost)
-                    .otherwise(fns[op](F.col("_a"), F.col("_b"))).alias("v"))
+    j = _paired(a.select(*keys, F.col("v").cast("double").alias("_v")),
+                b.select(*keys, F.col("v").cast("double").alias("_v")), list(keys))
+    return j.select(*keys, fns[op](F.col("_a"), F.col("_b")).alias("v"))
 
 
 def cells_scale(a: DataFrame, s: float) -> DataFrame:

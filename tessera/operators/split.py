@@ -3,19 +3,26 @@
 
 The permutation is the order of ``(md5(seed || ':' || key), key)`` - the same
 for any partitioning, any number of executors, and in DuckDB. The exact split
-needs only the k-th key of that order (``plans.positions.kth_key``), after
-which test and train are two narrow filters: no shuffle and no sort of the data.
+needs only the k-th hash of that order (``plans.positions.kth_value``), after
+which test and train are narrow filters: no shuffle and no sort of the data.
+
+Keys may repeat. Rows of one key are a run of equal hashes; the one run that the
+cut falls into is ordered by a hash of the rows' content, and of rows equal in
+content as many as are wanted are taken, counted and not ranked. So the test set
+has exactly ``round(test_size * n)`` rows, whatever the keys, and the same rows
+in every run. A NULL key counts as a key of its own.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.positions import (before_key, contiguous_positions, kth_key, md5_bucket,
-                                     order_hash, prefix_digits)
+from tessera.plans.positions import (before_key, contiguous_positions, kth_key, kth_value,
+                                     md5_bucket, order_hash, prefix_digits)
 
 
 def round_half_away(x: float) -> int:
@@ -36,37 +43,66 @@ def shuffle_positions(df: DataFrame, key: str, seed: int, pos: str = "pos",
     return contiguous_positions(h, ["_h", key], bucket, pos, ordered_output).drop("_h")
 
 
-def train_test_split(df: DataFrame, key: str, test_size: float, seed: int,
-                     n: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with exactly ``round(test_size * n)`` test rows: the first
-    rows of the seeded permutation are the test set."""
+COPIES = 1 << 16        # rows that one row is repeated to at once
+
+
+def repeated(df: DataFrame, n: int) -> DataFrame:
+    """Every row n times, dealt to tasks in runs of at most ``COPIES``."""
+    if n <= COPIES:
+        return df.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("_n") if n else df.limit(0)
+    runs = df.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit((n - 1) // COPIES)))).repartition("_r")
+    of = F.least(F.lit(COPIES), F.lit(n) - F.col("_r") * COPIES)
+    return runs.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), of.cast("long")))).drop("_n", "_r")
+
+
+def _content(df: DataFrame) -> "F.Column":
+    """md5 of all columns; equal for rows that are equal."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+
+
+def _cut(df: DataFrame, key: str, test_size: float, seed: int, n: int | None, out: str) -> DataFrame:
+    """``df`` with the column ``out``: 'test' for the first rows of the order."""
     if not 0 <= test_size <= 1:
         raise ValueError("test_size must be in [0, 1]")
     n = df.count() if n is None else n
     k = round_half_away(test_size * n)
-    h = with_order_hash(df, key, seed)
-    if k == 0:
-        return df, df.limit(0)
-    if k >= n:
-        return df.limit(0), df
-    cut = kth_key(h, "_h", key, k)
-    is_test = before_key("_h", key, cut)
-    return h.where(~is_test).drop("_h"), h.where(is_test).drop("_h")
+    if k == 0 or k >= n:
+        return df.withColumn(out, F.lit("test" if k else "train"))
+    h = df.withColumn("_h", F.coalesce(order_hash(seed, key), F.md5(F.lit(f"{seed}"))))
+    value, before, _ = kth_value(h.select("_h"), "_h", k)
+    label = F.when(F.col("_h") < value, "test").otherwise("train")
+    if before == k:                         # the run starts where the test set ends
+        return h.withColumn(out, label).drop("_h")
+    within = h.where(F.col("_h") == value).drop("_h").withColumn("_c", _content(df))
+    content, earlier, same = kth_value(within, "_c", k - before)
+    inside = within.where(F.col("_c") != content)
+    inside = inside.withColumn(out, F.when(F.col("_c") < content, "test").otherwise("train")).drop("_c")
+    parts = [h.where(F.col("_h") != value).withColumn(out, label).drop("_h"), inside]
+    tied = within.where(F.col("_c") == content).drop("_c")
+    taken = k - before - earlier
+    if taken == 0:
+        parts.append(tied.withColumn(out, F.lit("train")))
+    else:                                   # equal rows: one of them, as often as either side needs it
+        one = tied.limit(1)
+        parts += [repeated(one, c).withColumn(out, F.lit(v)) for c, v in ((taken, "test"), (same - taken, "train")) if c]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def train_test_split(df: DataFrame, key: str, test_size: float, seed: int,
+                     n: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) with exactly ``round(test_size * n)`` test rows: the first
+    rows of the seeded permutation are the test set."""
+    name = "_split"
+    while name in df.columns:
+        name = "_" + name
+    both = _cut(df, key, test_size, seed, n, name)
+    return both.where(F.col(name) == "train").drop(name), both.where(F.col(name) == "test").drop(name)
 
 
 def split_labels(df: DataFrame, key: str, test_size: float, seed: int,
                  n: int | None = None, out: str = "split") -> DataFrame:
-    """One pass variant: the same split as a ``'train'``/``'test'`` column."""
-    n = df.count() if n is None else n
-    k = round_half_away(test_size * n)
-    h = with_order_hash(df, key, seed)
-    if k == 0:
-        flag = F.lit(False)
-    elif k >= n:
-        flag = F.lit(True)
-    else:
-        flag = before_key("_h", key, kth_key(h, "_h", key, k))
-    return h.withColumn(out, F.when(flag, "test").otherwise("train")).drop("_h")
+    """The same split as a ``'train'``/``'test'`` column."""
+    return _cut(df, key, test_size, seed, n, out)
 
 
 def with_batches(df: DataFrame, key: str, seed: int, batch_size: int,

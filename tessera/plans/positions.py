@@ -54,6 +54,32 @@ def kth_key(df: DataFrame, h: str, key: str, k: int):
     raise RuntimeError("md5 prefixes exhausted")
 
 
+def kth_value(df: DataFrame, h: str, k: int) -> tuple[str, int, int]:
+    """``(value, before, run)``: the hash of the k-th row (0-based) in ``h`` order,
+    how many rows have a smaller one and how many have this one. Like ``kth_key``,
+    but rows of equal hash are one run, however long: once a prefix holds at most
+    ``FINAL_ROWS`` rows, or is a whole hash, its hashes are counted."""
+    prefix, below = "", 0
+    while True:
+        part = df.where(F.col(h).startswith(prefix)) if prefix else df
+        counts = part.groupBy(F.substring(h, len(prefix) + 1, HEX_DIGITS).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        for p, n in sorted((r["p"], r["n"]) for r in counts.collect()):
+            if below + n > k:
+                prefix += p
+                break
+            below += n
+        else:
+            raise ValueError("rank beyond the row count")
+        if len(prefix) >= 32:
+            return prefix, below, n
+        if n <= FINAL_ROWS:
+            counts = df.where(F.col(h).startswith(prefix)).groupBy(h).agg(F.count(F.lit(1)).alias("n"))
+            for v, n in sorted((r[h], r["n"]) for r in counts.collect()):
+                if below + n > k:
+                    return v, below, n
+                below += n
+
+
 def before_key(h: str, key: str, cut) -> "F.Column":
     """Predicate ``(h, key) < cut`` (lexicographic)."""
     ch, ck = cut

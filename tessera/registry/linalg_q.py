@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r4
 from tessera.operators import linalg as la
+from tessera.operators import tiles
 from tessera.registry.base import R, query, tbl
 
 A_SQL = """a AS (SELECT o_orderkey AS i, 0 AS j, o_totalprice / 997 AS v FROM orders
@@ -183,3 +184,21 @@ def q_init_params(spark, sf):
     p = la.init_params(spark, 0, int(r["r"]), int(r["c"]), seed=7)
     return p.select(F.col("layer").cast("long").alias("layer"), "param", F.col("idx").cast("long").alias("idx"),
                     r4("v").alias("v"))
+
+
+@query("matrix_multiply_tiles", """
+WITH a AS (SELECT l_suppkey AS i, l_partkey AS k, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
+b AS (SELECT l_partkey AS k, l_suppkey AS j, count(*) AS v FROM lineitem GROUP BY 1, 2)
+SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, CAST(sum(a.v * b.v) AS DOUBLE) AS v
+FROM a JOIN b USING (k) GROUP BY 1, 2
+""")
+def q_matrix_multiply_tiles(spark, sf):
+    """Quantities by supplier and part times lines by part and supplier: two
+    matrices that both grow with the data, in dense tiles."""
+    li = tbl(spark, sf, "lineitem", ["l_suppkey", "l_partkey", "l_quantity"])
+    m, k = (1 + (top or 0) for top in li.agg(F.max("l_suppkey"), F.max("l_partkey")).first())
+    s, p = F.col("l_suppkey").cast("long"), F.col("l_partkey").cast("long")
+    a = li.groupBy(s.alias("i"), p.alias("j")).agg(F.sum("l_quantity").cast("double").alias("v"))
+    b = li.groupBy(p.alias("i"), s.alias("j")).agg(F.count(F.lit(1)).cast("double").alias("v"))
+    out = tiles.cells_matmul_large(a, b, (m, k), (k, m))
+    return out.where("v != 0")              # no cell of either matrix is below 0: pairs with a part in common

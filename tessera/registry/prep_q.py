@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r4
 from tessera.operators import dataset as ds
-from tessera.operators import encode, split
+from tessera.operators import encode, sparse, split
 from tessera.operators.impute import fit_imputer
 from tessera.operators.scale import fit_scaler, fit_scaler_array
 from tessera.registry.base import R, query, tbl
@@ -384,3 +384,68 @@ def q_label_encode_missing(spark, sf):
     key = encode.category_key(F.col("event_type"))
     d = encode.fit_dictionary(ev, key, "event_id")
     return encode.label_encode(ev, key, d).select("event_id", F.col("code").cast("long").alias("code"))
+
+
+CUSTOMER_CODES = """d AS (SELECT o_custkey, CAST(row_number() OVER (ORDER BY min(o_orderkey)) - 1 AS BIGINT) AS code
+  FROM orders GROUP BY 1)"""
+
+
+def _customer_one_hot(spark, sf):
+    """Orders with the sparse one-hot vector of their customer: one class a customer."""
+    o = tbl(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    key = encode.numeric_key(F.col("o_custkey"), "bigint")
+    return sparse.one_hot_encode(o, key, encode.fit_dictionary(o, key, "o_orderkey"), "x")
+
+
+@query("one_hot_sparse", f"""
+WITH {CUSTOMER_CODES}
+SELECT o_orderkey, (SELECT count(*) FROM d) AS size, code AS k, CAST(1.0 AS DOUBLE) AS v
+FROM orders JOIN d USING (o_custkey)
+""")
+def q_one_hot_sparse(spark, sf):
+    x = _customer_one_hot(spark, sf).withColumn("size", F.col("x.size"))
+    return sparse.entries(x, ["o_orderkey", "size"], "x")
+
+
+@query("one_hot_product", f"""
+WITH {CUSTOMER_CODES}
+SELECT o_orderkey, CAST(j AS BIGINT) AS j, CAST((code * 7 + j * 3) % 11 AS DOUBLE) * 0.5 AS v
+FROM orders JOIN d USING (o_custkey), range(2) r(j)
+""")
+def q_one_hot_product(spark, sf):
+    """One-hot rows, scaled by a half, times a matrix with a row for each class (M6)."""
+    x = _customer_one_hot(spark, sf)
+    classes = x.select(F.explode("x.indices").alias("i")).distinct()
+    b = classes.withColumn("j", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))))
+    b = b.withColumn("v", ((F.col("i") * 7 + F.col("j") * 3) % 11).cast("double"))
+    x = x.withColumn("x", sparse.scale(F.col("x"), 0.5))
+    return sparse.matmul(x, ["o_orderkey"], "x", b, 2 * tbl(spark, sf, "customer", ["c_custkey"]).count())
+
+
+@query("one_hot_gram", f"""
+WITH {CUSTOMER_CODES}
+SELECT code AS i, CAST(0 AS BIGINT) AS j, CAST(sum(o_orderkey % 7) AS DOUBLE) AS v FROM orders JOIN d USING (o_custkey)
+GROUP BY 1
+UNION ALL SELECT code, 1, CAST(count(*) AS DOUBLE) FROM orders JOIN d USING (o_custkey) GROUP BY 1
+""")
+def q_one_hot_gram(spark, sf):
+    """Two column sums by class: the transposed one-hot matrix times two columns (M7)."""
+    x = _customer_one_hot(spark, sf)
+    return sparse.gram(x.withColumn("y", F.array((F.col("o_orderkey") % 7).cast("double"), F.lit(1.0))), "x", "y")
+
+
+@query("split_repeated_keys", """
+WITH r AS (SELECT l_suppkey, md5(concat('5:', CAST(l_suppkey AS VARCHAR))) AS h FROM lineitem),
+k AS (SELECT CAST(round(0.3 * count(*)) AS BIGINT) AS k FROM r),
+s AS (SELECT l_suppkey, h, count(*) AS n FROM r GROUP BY 1, 2),
+c AS (SELECT l_suppkey, n, coalesce(sum(n) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM s)
+SELECT l_suppkey, CAST(greatest(0, least(n, k - before)) AS BIGINT) AS test,
+       CAST(n - greatest(0, least(n, k - before)) AS BIGINT) AS train FROM c, k
+""")
+def q_split_repeated_keys(spark, sf):
+    """Rows of a supplier on either side of a split by a key that many rows share."""
+    li = tbl(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
+    both = split.split_labels(li, "l_suppkey", 0.3, 5)
+    return both.groupBy("l_suppkey").agg(F.count_if(F.col("split") == "test").alias("test"),
+                                         F.count_if(F.col("split") == "train").alias("train"))
