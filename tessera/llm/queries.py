@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from tessera.llm import conversations, licences, line_dedup, mixing, packing, records, resample, rules, sharding
 from tessera.llm import shingle_join, token_counts, topk, vector_dedup
 from tessera.llm.common import table
+from tessera.llm.oracles import ORACLES  # noqa: F401
 from tessera.session import scratch_path
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):

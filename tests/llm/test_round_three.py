@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import conversations, line_dedup, resample
-from tessera.llm.queries import QUERIES
+from tessera.llm.queries import ORACLES, QUERIES
 
 from llm_fixtures import SF, docs, documents, shipped  # noqa: F401
 
@@ -23,6 +23,20 @@ def lower(t):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(ORACLES[name])
+    names = [c[0] for c in want.description]
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert Counter(map(tuple, got.select(*names).collect())) == Counter(want.fetchall())
+
+
 # resampling
 
 def features(text, most=2):
