@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import ship_package
 
-SLICE_BYTES = 4 << 20      # text handled at once inside a task
+SLICE_BYTES = 8 << 20      # text handled at once inside a task
 ENDS = (".", ",")
-CACHE_BYTES = 32 << 20     # of a cache generation, objects included; two generations are kept
+CACHE_BYTES = 80 << 20     # of a cache generation, objects included; two generations are kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -147,8 +147,8 @@ class ItemTokenizer:
             v = need[p] = self.cache.get(p)
             if v is None:
                 missing.append(p)
-        for at in range(0, len(missing), 6_000):
-            part = missing[at:at + 6_000]
+        for at in range(0, len(missing), 20_000):
+            part = missing[at:at + 20_000]
             for p, v in zip(part, self._encode(part)):
                 need[p] = v
                 self.cache.put(p, v)
