@@ -47,4 +47,52 @@ SELECT doc_id, n_features, weight, score, CAST(CASE WHEN place <= 25 * most // 1
 UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM scored WHERE n_words < 20
 """
 
-ORACLES = {"op11_resampling": OP11, "op13_line_dedup": OP13}
+# set sizes and intersections by equal shingles; classes by spreading the smallest id
+OP2 = rf"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all({LOWER.format(c='text')}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+  FROM docs),
+class AS (SELECT s, min(r) AS c, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT c, n, unnest(s) AS x FROM class),
+pairs AS (SELECT a.c AS a, b.c AS b FROM items a JOIN items b ON a.x = b.x AND a.c < b.c
+  WHERE 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs UNION ALL SELECT c, c FROM class),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+ids AS (SELECT c, min(doc_id) AS doc_id FROM sets JOIN class USING (s) GROUP BY c),
+root AS (SELECT a AS c, min(doc_id) AS component_id FROM reach JOIN ids ON reach.b = ids.c GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN class USING (s) LEFT JOIN root USING (c)
+"""
+
+GOOD = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+WIDE = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
+
+OP4 = f"""
+WITH RECURSIVE v AS (SELECT vec_id, {WIDE} AS e FROM embeddings
+  WHERE {GOOD} AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AND vec_id IS NOT NULL),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+root AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+per AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN per USING (vec_id) LEFT JOIN root USING (vec_id)
+"""
+
+OP5 = f"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id,
+  list_transform({WIDE}, lambda x: CAST(floor(64 * x) AS BIGINT)) AS e FROM embeddings WHERE {GOOD}),
+scored AS (SELECT a.r, a.vec_id AS query_id, b.vec_id,
+  CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(b.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE a.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+
+ORACLES = {"op2_shingle_join": OP2, "op4_vector_dedup": OP4, "op5_topk": OP5, "op11_resampling": OP11,
+           "op13_line_dedup": OP13}

@@ -28,7 +28,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shingle_join.join(table(spark, sf_dir, "documents", "doc_id", "text"), percent=75, length=5)
+    joined = shingle_join.join(table(spark, sf_dir, "documents", "doc_id", "text"), percent=75, length=5)
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 @query

@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLES[name])
     names = [c[0] for c in want.description]

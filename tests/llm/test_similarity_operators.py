@@ -219,12 +219,12 @@ def test_top_k_matches_brute_force(spark, monkeypatch, block, sizes):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", sizes[1])
     rows = [r for r in vectors() if r[0] != 1008]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, score int")
-    fine = {(i, tuple(np.floor(64 * np.array(v)).astype(int))) for i, v in rows
-            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    fine = [(i, tuple(np.floor(64 * np.array(v)).astype(int))) for i, v in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = Counter()
-    for q, u in fine:
+    for at, (q, u) in enumerate(fine):
         if q % 20 == 0:
-            best = sorted((-int(np.dot(u, v)), i) for i, v in fine if i != q and len(v) == len(u))[:20]
+            best = sorted((-int(np.dot(u, v)), i) for n, (i, v) in enumerate(fine) if n != at and len(v) == len(u))[:20]
             want.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
     got = topk.search(df).collect()
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
@@ -237,12 +237,13 @@ def test_top_k_of_ids_with_several_vectors(spark, monkeypatch, block):
     rows = [(i, rng.normal(size=8)) for i in range(90)]
     rows += [(i % 7 * 20, 5 * rng.normal(size=8)) for i in range(70)]       # queries with many long vectors
     rows += [(31, rows[31][1] * 2), (32, rows[32][1] + 1), (20, rows[20][1])]
+    rows += [rows[20]] * 2 + [rows[33]] * 25                                # a query and a candidate with copies
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
-    fine = {(i, tuple(np.floor(64 * v).astype(int))) for i, v in rows}
+    fine = [(i, tuple(np.floor(64 * v).astype(int))) for i, v in rows]
     want = Counter()
-    for q, u in fine:
+    for at, (q, u) in enumerate(fine):
         if q % 20 == 0:
-            best = sorted((-int(np.dot(u, v)), i) for i, v in fine if i != q)[:20]
+            best = sorted((-int(np.dot(u, v)), i) for n, (i, v) in enumerate(fine) if n != at)[:20]
             want.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
     got = topk.search(df).collect()
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
@@ -252,7 +253,7 @@ def test_bounds_with_large_integers():
     rng = np.random.default_rng(3)
     for top in (10, 10 ** 6, 10 ** 12):
         x = rng.integers(-top, top, size=(50, 6))
-        i, vec, s = topk.best(x[:5], np.arange(5), x, np.arange(50), 4)
+        i, vec, s, _ = topk.best(x[:5], np.arange(5), x, np.arange(50), 4)
         for q in range(5):
             exact = sorted((-int(sum(int(a) * int(b) for a, b in zip(x[q], x[j]))), j) for j in range(50) if j != q)[:4]
             assert [(int(-c), int(v)) for c, v in zip(s[i == q], vec[i == q])] == exact
