@@ -4,7 +4,7 @@ Codes follow the order in which values first appear along the row key:
 ``groupBy(value).agg(min(key))`` (partial aggregation, skew-safe), then the
 rank of ``min(key)`` among the *distinct* values. A dictionary under
 ``DICT_WINDOW_MAX`` entries is ranked with one window (bounded input); larger
-ones use bucket offsets (no single-partition sort). Missing strings are the
+ones use range partitions and their offsets (no single-partition sort). Missing strings are the
 category ``'nan'``; unseen values get code -1 and an all-zero one-hot row.
 """
 
@@ -24,7 +24,7 @@ DICT_WINDOW_MAX = 1_000_000
 
 @dataclass
 class Dictionary:
-    df: DataFrame   # (value STRING, code INT), checkpointed in the shared folder
+    df: DataFrame   # (value STRING, code BIGINT), checkpointed in the shared folder
     size: int
 
     def codes(self) -> dict[str, int]:
@@ -59,7 +59,8 @@ def fit_dictionaries(df: DataFrame, values: dict[str, Column], key: str = "row_i
     map task), checkpointed once in the shared folder; the per-column sizes
     are one bounded collect. Codes are the rank of ``min(key)`` inside each
     column: a window partitioned by column when every dictionary is under
-    ``DICT_WINDOW_MAX`` entries, bucket offsets otherwise.
+    ``DICT_WINDOW_MAX`` entries, range partitions and their offsets otherwise. Codes
+    are BIGINT.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -76,9 +77,9 @@ def fit_dictionaries(df: DataFrame, values: dict[str, Column], key: str = "row_i
         one = firsts.where(F.col("column") == n).select("value", "first")
         if size <= DICT_WINDOW_MAX:
             # bounded: one dictionary of at most DICT_WINDOW_MAX entries per task
-            d = one.select("value", (F.row_number().over(Window.orderBy("first")) - 1).cast("int").alias("code"))
+            d = one.select("value", (F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("code"))
         else:
-            d = positions_by_key(one, "first", "code").select("value", F.col("code").cast("int"))
+            d = positions_by_key(one, "first", "code").select("value", "code")
         out[n] = Dictionary(d, size)
     return out
 
@@ -92,7 +93,7 @@ def label_encode(df: DataFrame, value: Column, dic: Dictionary, out: str = "code
     src = df.withColumn("_enc_v", value)
     d = dic.df.select(F.col("value").alias("_enc_v"), F.col("code").alias("_enc_c"))
     j = lookup_join(src, d, ["_enc_v"], dic.size)
-    return (j.withColumn(out, F.coalesce(F.col("_enc_c"), F.lit(-1)).cast("int"))
+    return (j.withColumn(out, F.coalesce(F.col("_enc_c"), F.lit(-1)).cast("long"))
             .drop("_enc_v", "_enc_c"))
 
 

@@ -30,6 +30,8 @@ SMALL_CELLS = 1_000_000
 # Both follow the same rules: a NULL element makes the products of its row NULL,
 # sums over rows (gram) skip NULL products, and a row of another width raises.
 EXPR_CELLS = 64
+# Beyond this many outputs AᵀB goes by tiles: no task holds all its sums.
+GRAM_CELLS = 4_000_000
 
 
 # ---------------------------------------------------------------- row form
@@ -161,7 +163,11 @@ def gram_cells(df: DataFrame, width_a: int, width_b: int, x: str = "x", y: str =
     Up to ``EXPR_CELLS`` outputs: one aggregate of width_a*width_b sums with
     map-side partial aggregation, exploded from its single row. Larger: every
     task adds ``XᵀY`` of its Arrow batches with numpy and emits one partial row
-    per cell; a grouped sum (output the size of AᵀB) finishes it."""
+    per cell; a grouped sum (output the size of AᵀB) finishes it. Beyond
+    ``GRAM_CELLS`` outputs: ``tiles.gram_tiles``."""
+    if width_a * width_b > GRAM_CELLS:
+        from tessera.operators.tiles import gram_tiles
+        return gram_tiles(df, width_a, width_b, x, y)
     if width_a * width_b > EXPR_CELLS:
         return _gram_cells_numpy(df, width_a, width_b, x, y)
     wide = F.lit("shape mismatch: a row has another width")
@@ -228,6 +234,13 @@ def fill_cells(spark: SparkSession, rows: int, cols: int, value: float = 0.0,
                     (F.col("id") % cols).alias("j"), F.lit(float(value)).alias("v"))
 
 
+def fill_like(df: DataFrame, key: str, cols: int, value: float = 0.0) -> DataFrame:
+    """One value in ``cols`` columns for every row of a table, under the row's own key."""
+    return df.select(F.col(key).cast("long").alias("i"),
+                     F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cols - 1).cast("long"))).alias("j")) \
+        .withColumn("v", F.lit(float(value)))
+
+
 def cells_elementwise(a: DataFrame, b: DataFrame, op: str, keys: Sequence[str] = ("i", "j")) -> DataFrame:
     """Cells of equal shape; a cell that only one side has, or that one has twice,
     fails the job."""

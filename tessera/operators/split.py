@@ -36,8 +36,9 @@ def with_order_hash(df: DataFrame, key: str, seed: int, h: str = "_h") -> DataFr
 def shuffle_positions(df: DataFrame, key: str, seed: int, pos: str = "pos",
                       ordered_output: bool = False, n: int | None = None) -> DataFrame:
     """Append the 0-based position of each row in the seeded permutation
-    (``ordered_output``: rows also come out in permutation order; ``n``, when
-    known, sizes the md5 buckets for very large tables)."""
+    (``ordered_output``: rows also come out in permutation order; ``n``, the row
+    count, sizes the md5 buckets and is counted unless given)."""
+    n = df.count() if n is None else n
     h = with_order_hash(df, key, seed)
     bucket = md5_bucket("_h", prefix_digits(n))
     return contiguous_positions(h, ["_h", key], bucket, pos, ordered_output).drop("_h")

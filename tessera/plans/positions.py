@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.plans.joins import lookup_join
+from tessera.session import scratch_path
+
 HEX_DIGITS = 4          # 65,536 buckets per refinement level
 FINAL_ROWS = 100_000    # at most this many rows are ranked on the driver
 
@@ -140,26 +143,29 @@ def md5_bucket(h: str, digits: int = HEX_DIGITS):
     return F.conv(F.substring(F.col(h), 1, digits), 16, 10).cast("int")
 
 
-def prefix_digits(n: int | None) -> int:
-    """Hex digits of the fine md5 bucket: 4 (65,536 buckets) unless the row
-    count is known to exceed 65,536 x ``TARGET_BUCKET_ROWS``, then 5 (1M
-    buckets), so that one fine bucket never holds more than ~2M rows."""
-    if n is not None and n > (16 ** HEX_DIGITS) * TARGET_BUCKET_ROWS:
-        return HEX_DIGITS + 1
-    return HEX_DIGITS
-
+def prefix_digits(n: int) -> int:
+    """Hex digits of the fine md5 bucket: 4 (65,536 buckets), or 5 (1M buckets)
+    beyond 65,536 x ``TARGET_BUCKET_ROWS`` rows, which keeps the table of buckets
+    small and a bucket at about 2M rows up to 2 x 10^12 rows."""
+    return HEX_DIGITS + (n > (16 ** HEX_DIGITS) * TARGET_BUCKET_ROWS)
 
-def range_bucket(df: DataFrame, key: str, buckets: int = 1024):
-    """Monotone bucket of a numeric key: the number of approximate quantile
-    boundaries <= key (boundaries from one ``percentile_approx`` aggregate,
-    at most ``buckets`` values), so buckets hold similar row counts."""
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(key).cast("double"), qs, 10 * buckets)).collect()[0][0]
-    bounds = sorted(set(bounds or []))
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    return F.size(F.filter(arr, lambda b: b <= F.col(key).cast("double")))
 
-
-def positions_by_key(df: DataFrame, key: str, pos_col: str = "pos") -> DataFrame:
-    """0-based contiguous position in ``key`` order (key numeric, unique)."""
-    return contiguous_positions(df, [key], range_bucket(df, key), pos_col)
+def positions_by_key(df: DataFrame, key: str, pos_col: str = "pos", rows_per_task: int = TARGET_BUCKET_ROWS) -> DataFrame:
+    """0-based contiguous position in ``key`` order (any orderable key; repeated
+    keys take consecutive positions). One range exchange into as many partitions as the rows
+    need, each sorted and written with its rows' places in it; the counts of the
+    partitions (one row each) give their offsets. No partition has a window, and
+    their number follows the row count."""
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    ranged = df.repartitionByRange(parts, F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first())
+    path = scratch_path(spark, "positions")
+    # the id is (partition << 33) + place in the partition
+    ranged.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("_part", F.shiftright("_place", 33))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)     # one row a partition
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    j = lookup_join(placed, offsets, ["_part"], parts, how="inner")
+    position = F.col("_offset") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return j.select(*df.columns, position.cast("long").alias(pos_col))

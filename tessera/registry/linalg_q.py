@@ -54,6 +54,14 @@ def q_matrix_fill(spark, sf):
     return cells_out(la.fill_cells(spark, n, 4, 0.5))
 
 
+@query("matrix_fill_keys", """
+SELECT o_orderkey AS i, CAST(j AS BIGINT) AS j, CAST(0.25 AS DOUBLE) AS v FROM orders, range(3) t(j)
+""")
+def q_matrix_fill_keys(spark, sf):
+    """A filled matrix with a row for each key of a table."""
+    return cells_out(la.fill_like(tbl(spark, sf, "orders", ["o_orderkey"]), "o_orderkey", 3, 0.25))
+
+
 def _ew(name, op, sym):
     sql = f"""
 WITH {A_SQL}, {B_SQL}
@@ -202,3 +210,15 @@ def q_matrix_multiply_tiles(spark, sf):
     b = li.groupBy(p.alias("i"), s.alias("j")).agg(F.count(F.lit(1)).cast("double").alias("v"))
     out = tiles.cells_matmul_large(a, b, (m, k), (k, m))
     return out.where("v != 0")              # no cell of either matrix is below 0: pairs with a part in common
+
+
+@query("gram_matrix_tiles", f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+long AS (SELECT vec_id, unnest(range(0, len(x))) AS p, unnest(x) AS v FROM e)
+SELECT a.p AS i, b.p AS j, {R('sum(a.v * b.v)')} AS v FROM long a JOIN long b USING (vec_id) GROUP BY 1, 2
+""")
+def q_gram_matrix_tiles(spark, sf):
+    """All products of two columns of the vectors, in tiles narrower than the vectors."""
+    e = tbl(spark, sf, "embeddings", ["embedding"]).withColumnRenamed("embedding", "x")
+    width = e.agg(F.max(F.size("x"))).first()[0] or 0
+    return cells_out(tiles.gram_tiles(e, width, width, "x", "x", size=16))

@@ -334,7 +334,7 @@ def q_one_hot_bigint(spark, sf):
     o = tbl(spark, sf, "orders", ["o_orderkey", "o_custkey"]).select(
         F.col("o_orderkey").alias("row_id"), (F.lit(9007199254740992) + F.col("o_custkey") % 5).alias("y"))
     key = encode.numeric_key(F.col("y"), "bigint")
-    return encode.label_encode(o, key, encode.fit_dictionary(o, key)).select("row_id", "y", "code")
+    return encode.label_encode(o, key, encode.fit_dictionary(o, key)).select("row_id", "y", F.col("code").cast("int").alias("code"))
 
 
 def events_with_nan(spark, sf):

@@ -138,3 +138,56 @@ def test_split_of_one_row_many_times(spark):
     df = spark.range(20).select(F.lit(1).alias("key"))
     train, test = split.train_test_split(df, "key", 0.25, seed=1)
     assert (train.count(), test.count()) == (15, 5)
+
+
+@pytest.mark.parametrize("rows, wa, wb, gaps", [(1, 1, 1, False), (37, 9, 22, True), (60, 21, 5, False)])
+def test_wide_gram_in_tiles(spark, monkeypatch, rows, wa, wb, gaps):
+    monkeypatch.setattr(tiles, "GROUP", 2)
+    monkeypatch.setattr(tiles, "STRETCH", 2)
+    monkeypatch.setattr(linalg, "GRAM_CELLS", 0)
+    rng = np.random.default_rng(rows)
+    a, b = rng.integers(-4, 5, (rows, wa)).astype(float), rng.integers(-4, 5, (rows, wb)).astype(float)
+    if gaps:
+        a[rng.random(a.shape) < 0.2] = np.nan
+        a[:, 3] = np.nan                                 # NULL throughout
+    data = [([None if np.isnan(v) else float(v) for v in p], [float(v) for v in q]) for p, q in zip(a, b)]
+    df = spark.createDataFrame(data, "x array<double>, y array<double>").repartition(5)
+    got = {(r.i, r.j): r.v for r in tiles.gram_tiles(df, wa, wb, size=4).collect()}
+    known = (~np.isnan(a)).astype(float).T @ np.ones(b.shape)
+    want = np.nan_to_num(a).T @ b
+    assert got == {(i, j): want[i, j] if known[i, j] else None for i in range(wa) for j in range(wb)}
+    same = {(r.i, r.j): r.v for r in linalg.gram_cells(df, wa, wb).collect()}
+    assert same == got
+    none = linalg.gram_cells(df.limit(0), wa, wb).collect()
+    assert len(none) == wa * wb and all(r.v is None for r in none)
+
+
+def test_gram_of_2500_columns(spark):
+    df = spark.range(300, numPartitions=4).select(
+        F.transform(F.sequence(F.lit(0), F.lit(2499)), lambda k: ((F.col("id") * 7 + k * 3) % 11).cast("double")).alias("x"))
+    m = np.array([[(i * 7 + k * 3) % 11 for k in range(2500)] for i in range(300)], dtype=float)
+    out = linalg.gram_cells(df, 2500, 2500, "x", "x")    # 6.25 million outputs
+    r = out.agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("i")).alias("t")).first()
+    want = m.T @ m
+    assert (r.n, r.s, r.t) == (2500 * 2500, want.sum(), (want * np.arange(2500)[:, None]).sum())
+
+
+def test_positions_over_many_range_partitions(spark):
+    from tessera.plans.positions import positions_by_key
+    df = spark.range(4000).select((F.col("id") * 37 % 4001).alias("k"), F.lit("x").alias("s")).repartition(5)
+    out = positions_by_key(df, "k", rows_per_task=100)
+    assert out.columns == ["k", "s", "pos"]
+    rows = sorted(out.collect())
+    assert [r.pos for r in rows] == list(range(4000))
+    same = positions_by_key(df.withColumn("k", F.lit(7)), "k", rows_per_task=100)
+    assert sorted(r.pos for r in same.collect()) == list(range(4000))
+
+
+def test_dictionary_above_the_window_bound(spark, monkeypatch):
+    monkeypatch.setattr(encode, "DICT_WINDOW_MAX", 10)
+    df = spark.range(2000).select(F.col("id").alias("row_id"), (F.col("id") * 31 % 500).cast("string").alias("v"))
+    d = encode.fit_dictionary(df.repartition(3), F.col("v"))
+    assert dict(d.df.dtypes)["code"] == "bigint" and d.size == 500
+    assert {r.value: r.code for r in d.df.collect()} == {str(k * 31 % 500): k for k in range(500)}
+    out = encode.label_encode(df, F.col("v"), d)
+    assert out.where(F.col("code") != F.col("row_id") % 500).isEmpty()
