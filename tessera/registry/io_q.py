@@ -34,6 +34,21 @@ def q_csv_roundtrip(spark, sf):
                        "o_orderstatus", "o_orderpriority")
 
 
+@query("csv_quoted_breaks", f"""
+SELECT CAST(doc_id AS DOUBLE) AS doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars
+FROM (SELECT doc_id, CASE WHEN text IN ({", ".join(f"'{t}'" for t in [*MISSING_TOKENS, ""])}) THEN NULL ELSE text END AS text
+      FROM documents)
+""")
+def q_csv_quoted_breaks(spark, sf):
+    """Whole texts, line breaks and quotes included, through delimited text."""
+    docs = tbl(spark, sf, "documents", ["doc_id", "text"])
+    path = scratch_path(spark, "csv_quoted_breaks")
+    (docs.write.option("header", True).option("quoteAll", True).option("escape", '"').option("lineSep", "\n")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    t = read_csv(spark, path, multi_line=True, escape='"')
+    return t.df.select("doc_id", F.md5("text").alias("text_md5"), F.char_length("text").cast("long").alias("n_chars"))
+
+
 _TOKENS = list(MISSING_TOKENS) + [""]
 _TOKEN_SQL = "[" + ", ".join(f"'{t}'" for t in _TOKENS) + "]"
 _TOKEN_IN = ", ".join(f"'{t}'" for t in _TOKENS)

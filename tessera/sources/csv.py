@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tessera.functions.missing import MISSING_TOKENS, is_missing_token, normalise_string, parse_double
 from tessera.plans.joins import lookup_join
 from tessera.session import scratch_path
+from tessera.sources.records import quoted_records
 
 
 @dataclass
@@ -42,15 +43,22 @@ def natural_order(path: Column) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool | None = None,
-             names: list[str] | None = None, multi_line: bool = False) -> CsvTable:
+             names: list[str] | None = None, multi_line: bool = False, escape: str = "\\") -> CsvTable:
     """Load delimited text with inferred header and column types. Quoted line
-    breaks need ``multi_line`` (a file is then read by one task)."""
-    raw = (spark.read.option("sep", sep).option("header", False).option("multiLine", multi_line)
-           .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
-    cols = raw.columns
+    breaks need ``multi_line`` (splits are then parsed under both quote states,
+    see ``records``). ``escape``: what stands before a quote inside quotes; a
+    quote itself for doubled quotes."""
+    options = {"sep": sep, "escape": escape, "multiLine": str(multi_line).lower(), "mode": "PERMISSIVE"}
+    raw = spark.read.options(**options).option("header", False).option("inferSchema", False).csv(path)
+    cols = raw.columns                                  # of the first record
     kept = scratch_path(spark, "csv")
-    raw.select(*cols, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
-               F.monotonically_increasing_id().alias("_m")).write.parquet(kept)
+    if multi_line:
+        records = quoted_records(spark, path, sep, escape)
+        fields = F.from_csv("record", F.lit(", ".join(f"`{c}` string" for c in cols)), options)
+        records.select("_f", "_b", "_m", fields.alias("_r")).select("_r.*", "_f", "_b", "_m").write.parquet(kept)
+    else:
+        raw.select(*cols, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                   F.monotonically_increasing_id().alias("_m")).write.parquet(kept)
     d = spark.read.parquet(kept)
     # one row per split of the parse; the first split with rows starts its file
     line = F.struct(*[F.col(c) for c in cols])
