@@ -1,5 +1,7 @@
 """DuckDB SQL of the operators' queries that SQL can express."""
 
+from tessera.llm.licences import BASE, TEMPLATES, TOLERANCE
+
 LOWER = "translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -94,5 +96,46 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
 
-ORACLES = {"op2_shingle_join": OP2, "op4_vector_dedup": OP4, "op5_topk": OP5, "op11_resampling": OP11,
+
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _licences() -> str:
+    """Every phrase at every place; a template's starts joined within the tolerance."""
+    base = ", ".join(f"({_text(p)}, {_text(label)})" for p, label in sorted(BASE.items()))
+    templates, keys = [], []
+    for t, (label, statement, phrases) in enumerate(TEMPLATES):
+        templates.append(f"({t}, {_text(label)}, {_text(statement)}, {len(phrases)})")
+        for k, p in enumerate(phrases):
+            keys.append(f"({t}, {k}, {_text(p)}, {f' {statement} '.split(f' {p} ')[0].count(' ')})")
+    return rf"""
+WITH base(phrase, label) AS (VALUES {base}),
+templates(t, label, statement, n_keys) AS (VALUES {", ".join(templates)}),
+keys(t, k, phrase, place) AS (VALUES {", ".join(keys)}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER.format(c='text')},
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+phrases AS (SELECT phrase, string_split(phrase, ' ') AS p FROM (SELECT phrase FROM base UNION SELECT phrase FROM keys)),
+word AS (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS i FROM docs),
+first AS (SELECT r, phrase, p, i FROM word JOIN phrases ON x = p[1]),
+stood AS (SELECT r, phrase, i FROM first JOIN docs USING (r) WHERE w[i + 1:i + len(p)] = p),
+based AS (SELECT r, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels
+          FROM stood JOIN base USING (phrase) GROUP BY r),
+starts AS (SELECT r, t, k, i - place AS s FROM stood JOIN keys USING (phrase)),
+near AS (SELECT a.r, a.t, a.s FROM starts a JOIN starts b ON a.r = b.r AND a.t = b.t AND abs(a.s - b.s) <= {TOLERANCE}
+         JOIN templates ON templates.t = a.t WHERE a.k = 0 AND (b.k > 0 OR n_keys = 1)
+         GROUP BY a.r, a.t, a.s, n_keys HAVING count(DISTINCT b.k) = greatest(1, n_keys - 1)),
+own AS (SELECT r, label, len(list_filter(range(len(x)), lambda j: s + j >= 0 AND w[s + j + 1] = x[j + 1])) / len(x) AS share
+        FROM (SELECT *, string_split(statement, ' ') AS x FROM near JOIN templates USING (t) JOIN docs USING (r))),
+owned AS (SELECT r, max(share) AS best, list(DISTINCT label) AS labels FROM own GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
+       coalesce(array_to_string(list_sort(based.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(based.labels, []), coalesce(owned.labels, [])))), ','), '')
+         AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
+FROM docs LEFT JOIN based USING (r) LEFT JOIN owned USING (r)
+"""
+
+
+ORACLES = {"op2_shingle_join": OP2, "op3_licences": _licences(), "op4_vector_dedup": OP4, "op5_topk": OP5, "op11_resampling": OP11,
            "op13_line_dedup": OP13}
