@@ -8,12 +8,14 @@ or parameters, never by the number of rows.
 """
 
 from tessera.session import checkpoint_dir, get_session
+from tessera.sources.footers import footer_profile
 from tessera.sources.csv import make_csv, read_csv
 from tessera.sources.model_io import load_model, save_model
 from tessera.sources.preview import preview
 from tessera.sources.scaler_io import load_scaler, save_scaler
 from tessera.operators.profile import (describe_numeric, describe_string, mean_median, medians,
                                        row_count, squared_error, value_counts)
+from tessera.operators.exact import exact_gram, exact_means, exact_squared_error
 from tessera.operators.impute import fit_imputer
 from tessera.operators.scale import fit_scaler, fit_scaler_array
 from tessera.operators.encode import (category_key, fit_dictionaries, fit_dictionary, label_encode,
@@ -33,5 +35,5 @@ __all__ = [
     "one_hot_encode", "Dataset", "to_dataset", "to_image_dataset", "split_dataset", "train_test_split",
     "split_labels", "shuffle_positions", "with_batches", "gather", "Sequential", "Dense", "Conv2D",
     "MaxPool2D", "AvgPool2D", "Flatten", "predict", "new_optimizer", "compile_model", "fit", "evaluate",
-    "EarlyStopping",
+    "EarlyStopping", "exact_means", "exact_squared_error", "exact_gram", "footer_profile",
 ]

@@ -93,6 +93,28 @@ def q_preview_rows(spark, sf):
     return preview(src, 10, key="o_orderkey")
 
 
+@query("preview_last_rows", """
+SELECT o_orderkey, printf('%.2f', CAST(o_custkey AS DOUBLE)) AS o_custkey,
+       printf('%.2f', o_totalprice) AS o_totalprice, o_orderstatus,
+       CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS row_no
+FROM orders QUALIFY row_no > (SELECT count(*) FROM orders) - 10
+""")
+def q_preview_last_rows(spark, sf):
+    src = tbl(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"])
+    return preview(src, 10, key="o_orderkey", end="last")
+
+
+@query("preview_all_rows", """
+SELECT o_orderkey, printf('%.2f', CAST(o_custkey AS DOUBLE)) AS o_custkey,
+       printf('%.2f', o_totalprice) AS o_totalprice, o_orderstatus,
+       CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS row_no
+FROM orders
+""")
+def q_preview_all_rows(spark, sf):
+    src = tbl(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"])
+    return preview(src, -1, key="o_orderkey")
+
+
 LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import r4
-from tessera.operators import profile
+from tessera.operators import exact, profile
 from tessera.registry.base import R, query, tbl
+from tessera.sources.footers import footer_profile
 
 LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -78,3 +79,54 @@ def q_squared_error(spark, sf):
 @query("dataset_count", "SELECT CAST(count(*) AS BIGINT) AS n FROM orders")
 def q_dataset_count(spark, sf):
     return profile.row_count(tbl(spark, sf, "orders", ["o_orderkey"]))
+
+
+# Every value of these columns is a multiple of 2^-60, so the oracle can add whole numbers.
+def _exact_sum_sql(expr: str, scale: int) -> str:
+    """The exact sum of doubles (multiples of 2^-scale), rounded once, by its decimal digits."""
+    return (f"CAST(CAST(sum(CAST({expr} * {float(2 ** scale)!r} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {float(2 ** scale)!r}")
+
+
+@query("mean_exact", _union_sql([
+    f"SELECT feature, n, total, total / n AS mean FROM (SELECT '{c}' AS feature, count({c}) AS n, "
+    f"{_exact_sum_sql(c, 60)} AS total FROM lineitem)" for c in LINE_NUM]))
+def q_mean_exact(spark, sf):
+    """Sums and means to the last bit, without rounding in the query."""
+    d = exact.exact_means(tbl(spark, sf, "lineitem", LINE_NUM), LINE_NUM)
+    return d.select(F.col("column").alias("feature"), F.col("count").alias("n"), F.col("sum").alias("total"), "mean")
+
+
+def _exact_product_sql(x: str, y: str, sx: int, sy: int) -> str:
+    """The exact sum of products of doubles that are multiples of 2^-sx and 2^-sy."""
+    whole = f"sum(CAST({x} * {float(2 ** sx)!r} AS HUGEINT) * CAST({y} * {float(2 ** sy)!r} AS HUGEINT))"
+    return f"CAST(CAST({whole} AS VARCHAR) AS DOUBLE) / {float(2 ** (sx + sy))!r}"
+
+
+@query("squared_error_exact", f"""
+SELECT sse, sse / n AS mse FROM (
+  SELECT {_exact_product_sql("(l_discount - l_tax)", "(l_discount - l_tax)", 59, 59)} AS sse,
+         count(l_discount - l_tax) AS n FROM lineitem)
+""")
+def q_squared_error_exact(spark, sf):
+    return exact.exact_squared_error(tbl(spark, sf, "lineitem", ["l_discount", "l_tax"]), "l_discount", "l_tax")
+
+
+_GRAM_LEFT, _GRAM_RIGHT = [("l_quantity", 0), ("l_discount", 59)], [("l_tax", 59), ("l_quantity", 0)]
+
+
+@query("gram_exact", _union_sql([
+    f"SELECT {i}::BIGINT AS i, {j}::BIGINT AS j, {_exact_product_sql(a, b, sa, sb)} AS v FROM lineitem"
+    for i, (a, sa) in enumerate(_GRAM_LEFT) for j, (b, sb) in enumerate(_GRAM_RIGHT)]))
+def q_gram_exact(spark, sf):
+    left, right = [c for c, _ in _GRAM_LEFT], [c for c, _ in _GRAM_RIGHT]
+    return exact.exact_gram(tbl(spark, sf, "lineitem", sorted({*left, *right})), left, right)
+
+
+@query("footer_profile", """
+SELECT count(*) AS n, count(o_orderkey) AS o_orderkey_count, min(o_orderkey) AS o_orderkey_min,
+       max(o_orderkey) AS o_orderkey_max, count(o_custkey) AS o_custkey_count, min(o_custkey) AS o_custkey_min,
+       max(o_custkey) AS o_custkey_max
+FROM orders
+""")
+def q_footer_profile(spark, sf):
+    return footer_profile(spark, f"{sf.rstrip('/')}/orders.parquet", ["o_orderkey", "o_custkey"])
