@@ -65,6 +65,17 @@ def predict(df: DataFrame, model: Sequential, key: str = "row_id", x: str = "x",
     return src.mapInArrow(run, schema)
 
 
+def batch_gradient(model: Sequential, params, xs: np.ndarray, ys: np.ndarray, loss: str, metric: str | None,
+                   masks=None, lookahead=None) -> tuple[np.ndarray, float, float]:
+    """(flat gradient sum, loss sum, metric sum) over the rows of one array."""
+    out, caches = forward(model, params, xs, masks, keep=True)
+    delta = output_delta(model, loss, out, ys, caches[-1])
+    grads = backward(model, params, caches, delta, lookahead)
+    flat = np.concatenate([g[k].ravel() for g in grads for k in ("w", "b") if k in g])
+    rank = len(model.output_shape)
+    return flat, loss_sum(loss, out, ys, rank)[0], metric_sum(metric, out, ys, rank)[0] if metric else 0.0
+
+
 def gradient_sums(df: DataFrame, model: Sequential, loss: str, metric: str | None,
                   masks=None, lookahead=None, x: str = "x", y: str = "y",
                   broadcasts: list | None = None) -> DataFrame:
@@ -87,16 +98,11 @@ def gradient_sums(df: DataFrame, model: Sequential, loss: str, metric: str | Non
             xs, ys = list_to_np(b.column("x")), list_to_np(b.column("y"))
             if len(xs) == 0:
                 continue
-            out, caches = forward(m, params, xs, mk, keep=True)
-            delta = output_delta(m, ls, out, ys, caches[-1])
-            grads = backward(m, params, caches, delta, la)
-            flat = np.concatenate([g[k].ravel() for g in grads for k in ("w", "b") if k in g])
+            flat, one_loss, one_metric = batch_gradient(m, params, xs, ys, ls, mt, mk, la)
             acc = flat if acc is None else acc + flat
             n += len(xs)
-            rank = len(m.output_shape)
-            lsum += loss_sum(ls, out, ys, rank)[0]
-            if mt:
-                msum += metric_sum(mt, out, ys, rank)[0]
+            lsum += one_loss
+            msum += one_metric
         if acc is None:
             return
         idx = np.concatenate([np.arange(len(acc), dtype=np.int64),

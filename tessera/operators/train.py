@@ -1,17 +1,24 @@
 """Training loop, evaluation and early stopping.
 
-One Spark job per optimisation step (see ``operators.score.gradient_sums``);
-the driver holds only model-sized arrays. Each epoch's mini-batch numbering
-is written once to the shared folder, sorted by batch, so that every step
-reads its own batch through Parquet row-group pruning and a lost executor
-only recomputes from that written table.
+Steps follow each other, whatever runs them: each needs the weights of the one
+before. Mini-batches above ``CHAIN_ROWS`` rows take one Spark job a step, whose
+gradient all executors sum (see ``operators.score.gradient_sums``). Smaller ones
+have no work to share out, so a job takes a stretch of about ``CHAIN_ROWS`` rows
+of them and its one task makes their steps one after the other, holding one
+mini-batch; weights and optimizer state go on to the next job. So the jobs grow
+with the rows and not with the steps, and no task sees more than a stretch. The
+driver holds only model-sized arrays. Each epoch's mini-batch numbering is
+written once to the shared folder, in a folder for each stretch (else sorted by
+batch), so that every job reads its own rows only and a lost executor only
+recomputes from that written table.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,13 +26,17 @@ from tessera.operators import metrics as M
 from tessera.operators.dataset import Dataset
 from tessera.operators.model import Sequential, check_loss_pair, layer_masks
 from tessera.operators.optim import Optimizer
-from tessera.operators.score import collect_gradient, gradient_sums, predict
+from tessera.operators.score import (batch_gradient, collect_gradient, gradient_sums, list_to_np,
+                                     np_to_list, predict)
 from tessera.operators.split import round_half_away, train_test_split, with_batches
 from tessera.session import remove_scratch, scratch_path
 
 # Monitored quantities (even index: lower is better).
 MONITORS = ("loss", "accuracy", "val_loss", "val_accuracy")
 
+CHAIN_ROWS = 1 << 15        # rows whose mini-batches one task steps through
+STATE = ("v", "acc", "d")   # arrays of an optimizer's state, each as long as the weights
+
 
 @dataclass
 class EarlyStopping:
@@ -130,6 +141,68 @@ def evaluate(model: Sequential, data: Dataset, loss: str, metric: str) -> DataFr
     return M.evaluate_predictions(pred, loss, metric, outputs, rank=rank)
 
 
+def _means(model: Sequential, loss: str, metric: str, n: float, lsum: float, msum: float) -> tuple[float, float]:
+    """Loss and metric of a mini-batch from its sums."""
+    outputs = int(np.prod(model.output_shape))
+    per_element = len(model.output_shape) == 3
+    return (lsum / (n * outputs if loss == "mse" or per_element else n),
+            msum / (n * outputs if metric in ("mse", "mae") or (per_element and metric == "binary_accuracy") else n))
+
+
+def chained_steps(df: DataFrame, model: Sequential, optimizer: Optimizer, w: np.ndarray, loss: str, metric: str,
+                  seed: int, step: int) -> tuple[np.ndarray, list[float], list[float]]:
+    """One step for each mini-batch of ``df`` (columns ``batch``, ``row_id``, ``x``,
+    ``y``), in the order of ``batch``, as one task: weights after them, and the loss
+    and metric of each. ``step`` steps were made before; the optimizer's state moves on."""
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast((model, optimizer, w))
+    src = df.select("batch", "row_id", F.col("x").cast("array<double>").alias("x"),
+                    F.col("y").cast("array<double>").alias("y"))
+    src = src.coalesce(1).sortWithinPartitions("batch", "row_id").select("batch", "x", "y")
+
+    def run(batches):
+        m, opt, now = bc.value
+        opt = replace(opt, state=dict(opt.state))
+        at, waiting, losses, mets = None, [], [], []
+
+        def stepped(now):
+            xs, ys = (np.concatenate(c) for c in zip(*waiting))
+            params, la = m.unflat(now), opt.lookahead(now)
+            masks = layer_masks(m, seed, step + len(losses) + 1)
+            g, lsum, msum = batch_gradient(m, params, xs, ys, loss, metric, masks,
+                                           m.unflat(la) if la is not None else None)
+            a, b = _means(m, loss, metric, len(xs), lsum, msum)
+            losses.append(a)
+            mets.append(b)
+            return opt.step(now, g / len(xs))
+
+        for b in batches:
+            if not len(b):
+                continue
+            number = b.column(b.schema.get_field_index("batch")).to_numpy()
+            xs, ys = (list_to_np(b.column(b.schema.get_field_index(c))) for c in ("x", "y"))
+            cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(b)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if number[lo] != at:
+                    now = stepped(now) if waiting else now
+                    at, waiting = number[lo], []
+                waiting.append((xs[lo:hi], ys[lo:hi]))
+        if not waiting:
+            return
+        now = stepped(now)
+        arrays = [now, np.array(losses), np.array(mets), *[opt.state[k] for k in STATE]]
+        yield pa.RecordBatch.from_arrays([*[np_to_list(a.reshape(1, -1)) for a in arrays],
+                                          pa.array([opt.state["t"]], pa.int64())],
+                                         names=["w", "losses", "metrics", *STATE, "t"])
+
+    schema = ", ".join(f"{c} array<double>" for c in ("w", "losses", "metrics", *STATE)) + ", t long"
+    got = src.mapInArrow(run, schema).toArrow()                     # model-sized: one row
+    bc.unpersist()
+    one = {c: list_to_np(got.column(c))[0] for c in ("w", "losses", "metrics", *STATE)}
+    optimizer.state = {**{k: one[k] for k in STATE}, "t": got.column("t")[0].as_py()}
+    return one["w"], one["losses"].tolist(), one["metrics"].tolist()
+
+
 def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metric: str,
         epochs: int = 1, batch_size: int = 0, validation_split: float = 0.0,
         val: Dataset | None = None, early_stopping: EarlyStopping | None = None,
@@ -159,6 +232,7 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
     if batch_size <= 0 or batch_size >= n:
         batch_size = n
     n_batches = -(-n // batch_size)
+    chained = CHAIN_ROWS // batch_size if n_batches > 1 else 0      # mini-batches a job steps through
     w = model.flat()
     optimizer.init_state(len(w))
     es = EarlyStopState(early_stopping) if early_stopping else None
@@ -175,14 +249,27 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
             scratch.append(bpath)
             # each task writes whole coarse buckets, rows sorted by position
             # inside them: row groups cover narrow batch ranges, so a step
-            # reading ``batch == b`` prunes the others by their statistics
+            # reading ``batch == b`` prunes the others by their statistics, and
+            # a stretch of small batches has few files, in a folder of its own
             batched = with_batches(train_df, "row_id", seed * 100003 + epoch, batch_size, n=n)
             bschema = batched.schema
-            batched.write.mode("overwrite").parquet(bpath)
-            bt = spark.read.schema(bschema).parquet(bpath)
-            batches = [bt.where(F.col("batch") == b) for b in range(n_batches)]
+            if chained > 1:
+                batched = batched.withColumn("stretch", F.floor(F.col("batch") / chained).cast("long"))
+                batched.write.mode("overwrite").partitionBy("stretch").parquet(bpath)
+                bt = spark.read.schema(bschema.add("stretch", "long")).parquet(bpath)
+                batches = [bt.where(F.col("stretch") == s) for s in range(-(-n_batches // chained))]
+            else:
+                batched.write.mode("overwrite").parquet(bpath)
+                bt = spark.read.schema(bschema).parquet(bpath)
+                batches = [bt.where(F.col("batch") == b) for b in range(n_batches)]
         losses, mets = [], []
         for bdf in batches:
+            if chained > 1:
+                w, more_losses, more_mets = chained_steps(bdf, model, optimizer, w, loss, metric, seed, step)
+                step += len(more_losses)
+                losses += more_losses
+                mets += more_mets
+                continue
             step += 1
             model.params = model.unflat(w)
             masks = layer_masks(model, seed, step)
@@ -193,11 +280,9 @@ def fit(model: Sequential, data: Dataset, optimizer: Optimizer, loss: str, metri
                 gradient_sums(bdf, model, loss, metric, masks, look, broadcasts=bcs), len(w))
             for bc in bcs:
                 bc.unpersist()
-            outputs = int(np.prod(model.output_shape))
-            per_element = len(model.output_shape) == 3
-            losses.append(lsum / (cnt * outputs if loss == "mse" or per_element else cnt))
-            mets.append(msum / (cnt * outputs if metric in ("mse", "mae") or
-                                (per_element and metric == "binary_accuracy") else cnt))
+            one_loss, one_met = _means(model, loss, metric, cnt, lsum, msum)
+            losses.append(one_loss)
+            mets.append(one_met)
             w = optimizer.step(w, g / cnt)
         model.params = model.unflat(w)
         row = {"epoch": epoch, "loss": float(np.mean(losses)), "metric": float(np.mean(mets)),

@@ -55,3 +55,36 @@ def test_packed_products_keep_infinite_values(spark):
     out = tiles.cells_matmul_large(cells(spark, a), cells(spark, b), (2, 2), (2, 2), size=big)
     got = {(r.i, r.j): r.v for r in out.collect()}
     assert got[0, 0] == float("inf") and np.isnan(got[0, 1]) and got[1, 0] == 2 and got[1, 1] == 0
+
+
+def test_small_batches_take_a_job_for_a_stretch(spark, monkeypatch):
+    from tessera.operators import train
+    from tessera.operators.dataset import Dataset
+    from tessera.operators.model import Dense, Sequential
+    from tessera.operators.optim import new_optimizer
+
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).tolist(), np.eye(3)[i % 3].tolist()) for i in range(203)]
+    df = spark.createDataFrame(rows, "row_id long, x array<double>, y array<double>").repartition(3).cache()
+    jobs = {"chained": 0, "single": 0}
+    chain, single = train.chained_steps, train.gradient_sums
+
+    def counted(kind, real):
+        def run(*a, **k):
+            jobs[kind] += 1
+            return real(*a, **k)
+        return run
+
+    monkeypatch.setattr(train, "chained_steps", counted("chained", chain))
+    monkeypatch.setattr(train, "gradient_sums", counted("single", single))
+    got = []
+    for stretch in (64, 1):             # 8 batches a job; a job for each batch
+        monkeypatch.setattr(train, "CHAIN_ROWS", stretch)
+        model = Sequential((4,), [Dense(5, "tanh", dropout=[0.2]), Dense(3, "softmax")], seed=2)
+        opt = new_optimizer("SGD", learning_rate=0.1, momentum=0.9, nesterov=True)
+        model, hist = train.fit(model, Dataset(df, [], None, 3), opt, "categorical_crossentropy", "accuracy",
+                                epochs=2, batch_size=8, seed=6)
+        got.append((model.flat(), [(r.loss, r.metric) for r in hist.orderBy("epoch").collect()], opt.state["v"]))
+    assert jobs == {"chained": 2 * 4, "single": 2 * 26}       # 52 jobs of their own before
+    for a, b in zip(*got):
+        np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-12)
