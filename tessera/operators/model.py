@@ -223,11 +223,14 @@ def conv_forward(x, w, b, s, p):
     return np.einsum("nchwij,ocij->nohw", win, w, optimize=True) + b[None, :, None, None]
 
 
-def conv_backward(x, w, dz, s, p):
-    """(dW, db, dx) for a conv layer given dL/dz (sums over the batch)."""
+def conv_backward(x, w, dz, s, p, deltas: bool = True):
+    """(dW, db, dx) for a conv layer given dL/dz (sums over the batch); only dx
+    depends on ``w``, and it is None without ``deltas``."""
     win, pshape = _windows(x, w.shape[2:], s, p, 0.0)
     dw = np.einsum("nohw,nchwij->ocij", dz, win, optimize=True)
     db = dz.sum(axis=(0, 2, 3))
+    if not deltas:
+        return dw, db, None
     dxp = np.zeros((x.shape[0], x.shape[1], pshape[2], pshape[3]))
     ho, wo = dz.shape[2], dz.shape[3]
     for i in range(w.shape[2]):
@@ -410,11 +413,9 @@ def backward(model: Sequential, params, caches, delta, lookahead=None):
             grads[li] = {"w": c["x"].T @ g_z, "b": g_z.sum(axis=0)}
             g_z = g_z @ wprop.T
         elif isinstance(layer, Conv2D):
-            dw, db, dx = conv_backward(c["x"], p["w"], g_z, layer.stride, layer.padding)
+            # below the first layer no delta is needed
+            dw, db, g_z = conv_backward(c["x"], wprop, g_z, layer.stride, layer.padding, deltas=li > 0)
             grads[li] = {"w": dw, "b": db}
-            if lookahead is not None:
-                _, _, dx = conv_backward(c["x"], wprop, g_z, layer.stride, layer.padding)
-            g_z = dx
         elif isinstance(layer, MaxPool2D):
             g_z = maxpool_backward(c["x"], layer.pool, layer.stride, layer.padding, c["arg"], g_z)
         elif isinstance(layer, AvgPool2D):
