@@ -40,9 +40,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens. A null or empty text is its end id; rows
-    are packed one by one, equal ones too; no documents give no sequences."""
+    are packed one by one, equal ones too; no documents give no sequences. Workers
+    still hold what the stages before left, so slices and caches are smaller here."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0,
-                                  max_tokens=1024, max_segments=32, max_loss=1024)
+                                  max_tokens=1024, max_segments=32, max_loss=1024,
+                                  slice_bytes=4 << 20, cache_bytes=32 << 20)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("mixture", mixture), ("pack", pack)]

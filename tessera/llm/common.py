@@ -102,18 +102,19 @@ class ItemTokenizer:
 
     _loaded: dict = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 65536 else "<u4")
-        self.cache = TwoGenerations()
+        self.cache = TwoGenerations(cache_bytes)
 
     @classmethod
-    def load(cls, path: str) -> "ItemTokenizer":
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
+    def load(cls, path: str, cache_bytes: int = CACHE_BYTES) -> "ItemTokenizer":
+        """The tokenizer a worker keeps for ``path``; another cache size takes its place."""
+        if path not in cls._loaded or cls._loaded[path].cache.size != cache_bytes:
+            cls._loaded[path] = cls(path, cache_bytes)
         return cls._loaded[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:

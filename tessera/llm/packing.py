@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ItemTokenizer, batch_column, given_back, text_slices
+from tessera.llm.common import CACHE_BYTES, SLICE_BYTES, ItemTokenizer, batch_column, given_back, text_slices
 
 POOL_TOKENS = 2_000_000     # waiting tokens of a task before sequences are filled
 
@@ -120,13 +120,16 @@ class Packer:
 def pack_documents(df: DataFrame, path: str, end_id: int | None = 0, max_tokens: int = 1024,
                    max_segments: int = 32, max_loss: int | None = None, id_col: str = "doc_id",
                    text_col: str = "text", loss_from_col: str | None = None,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, slice_bytes: int = SLICE_BYTES,
+                   cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Tokenize and pack: one row per piece with doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset, segment loss tokens and, if
     ``with_ids``, the ids (little-endian unsigned 32-bit).
 
     ``loss_from_col``: number of leading tokens of an example that bear no loss
     (the prompt of instruction data); null or no column: every token bears loss.
+    ``slice_bytes`` and ``cache_bytes`` bound the text handled at once and a
+    generation of a worker's token cache: less memory for more work, the same rows.
     """
     max_loss = max_loss or max_tokens
     cols = [F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")]
@@ -137,7 +140,7 @@ def pack_documents(df: DataFrame, path: str, end_id: int | None = 0, max_tokens:
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens"]
 
     def run(batches):
-        tok = ItemTokenizer.load(path)
+        tok = ItemTokenizer.load(path, cache_bytes)
         packer = Packer(max_tokens, max_segments, max_loss)
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         waiting: dict[int, list] = {}            # example -> [id, ids, pieces still waiting, doc tokens, first]
@@ -165,7 +168,7 @@ def pack_documents(df: DataFrame, path: str, end_id: int | None = 0, max_tokens:
             doc_ids, text = batch_column(batch, "doc_id"), batch_column(batch, "text")
             loss_from = batch_column(batch, "loss_from").to_numpy(zero_copy_only=False)
             id_arrow = doc_ids.type
-            for a, b in text_slices(text):
+            for a, b in text_slices(text, slice_bytes):
                 ids, off = tok.encode(text.slice(a, b - a))
                 for k, doc in enumerate(doc_ids.slice(a, b - a).to_pylist()):
                     one = ids[off[k]:off[k + 1]]

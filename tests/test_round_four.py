@@ -88,3 +88,19 @@ def test_small_batches_take_a_job_for_a_stretch(spark, monkeypatch):
     assert jobs == {"chained": 2 * 4, "single": 2 * 26}       # 52 jobs of their own before
     for a, b in zip(*got):
         np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-12)
+
+
+def test_packing_with_small_slices_and_caches(spark):
+    import public_tokenizers
+
+    from tessera.llm import packing
+    from tessera.llm.common import ItemTokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    small = ItemTokenizer.load(path, 4096)
+    assert small.cache.size == 4096 and ItemTokenizer.load(path).cache.size > 4096
+    words = [(i, None if i == 7 else " ".join(f"w{i * k % 97}x{k}." for k in range(i % 40 * 20))) for i in range(60)]
+    docs = spark.createDataFrame(words, "doc_id long, text string").coalesce(1)
+    got = [sorted(map(tuple, packing.pack_documents(docs, path, **more).collect()))
+           for more in ({}, {"slice_bytes": 1000, "cache_bytes": 4096})]
+    assert got[0] == got[1] and len({r[0] for r in got[0]}) == 60
