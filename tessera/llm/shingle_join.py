@@ -1,7 +1,7 @@
 """N-gram Jaccard join: a size-aware heavy-light join over word shingles.
 
 Sets are ordered by a global order: shingles by how many texts hold them
-(rare first, from counts over all texts), then by hash. Two sets with Jaccard
+(rare first, from counts of all shingles over all texts), then by hash. Two sets with Jaccard
 similarity >= t share ceil(t * n) shingles of the larger, hence at least k of the
 first n - ceil(t * n) + k shingles of each.
 
@@ -50,7 +50,7 @@ from tessera.llm.shingles import mix, set_id, shingle_sets
 from tessera.session import scratch_path
 
 SHORT = 8                    # sets of a list whose pairs are all candidates
-MAX_FREQUENT = 1 << 20       # shingles kept as frequent (8 bytes each)
+MAX_FREQUENT = 1 << 21       # shingles kept as frequent (8 bytes each)
 MAX_BROADCAST_IDS = 1 << 20  # ids of texts sent to every executor, at most
 FEW_PAIRS = 200_000          # pairs between components that are listed without another round
 FLUSH = 1_000_000            # hashes gathered in a task before they are written
@@ -58,7 +58,6 @@ SLICE = 4 << 20
 SALTS = 16                   # tasks that the members of a list are dealt to
 BLOCK = 4096                 # members of a list that are set against as many others in one task
 STAR_ROUNDS = 0              # rounds with other leaders before the rest is set against each other, at most
-HALF = np.uint64(1 << 63)
 SKETCH = 512                 # bits of a set's parity sketch
 
 
@@ -94,6 +93,7 @@ def _trimmed(run):
 
 
 def _count_map(bits: int, length: int):
+    """Rows of the texts, and all their shingles by range (twice ``1 << bits`` of them)."""
     shift = np.uint64(31 - bits)
 
     def run(batches):
@@ -114,16 +114,14 @@ def _count_map(bits: int, length: int):
                 sets = shingle_sets(text.slice(a, b - a), length)
                 sig = [set_id(h) if len(h) else None for h in sets]
                 yield pa.RecordBatch.from_pydict({
-                    "range": pa.array((row + np.arange(b - a)) % (1 << bits), pa.int32()),
+                    "range": pa.array((row + np.arange(b - a)) % (2 << bits), pa.int32()),
                     "doc_id": ids.slice(a, b - a), "th": th.slice(a, b - a),
                     "n": pa.array([len(h) for h in sets], pa.int64()), "sig": pa.array(sig, pa.int64()),
                     "blob": pa.nulls(b - a, pa.binary())})
                 row += b - a
                 for k in {x: k for k, x in enumerate(sig) if x is not None}.values():
-                    h = sets[k]
-                    h = h[:np.searchsorted(h, HALF)]      # only these come into a prefix, as a rule
-                    hashes.append(h)
-                    held += len(h)
+                    hashes.append(sets[k])
+                    held += len(sets[k])
                 if held > FLUSH:
                     yield counted()
                     hashes, held = [], 0
@@ -175,7 +173,7 @@ class GlobalOrder:
         if not len(self.keys):
             return out
         v = (h >> self.shift).astype(np.int64)
-        at = np.flatnonzero((h < HALF) & self.flag[v & (len(self.flag) - 1)])
+        at = np.flatnonzero(self.flag[v & (len(self.flag) - 1)])
         place = np.minimum(np.searchsorted(self.keys, v[at]), len(self.keys) - 1)
         hit = self.keys[place] == v[at]
         out[at[hit]] = self.classes[place[hit]]

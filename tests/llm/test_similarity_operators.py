@@ -133,6 +133,21 @@ def test_a_shared_passage_is_not_compared_pair_by_pair(spark, monkeypatch):
         assert counts[1] < 8 * counts[0] + 1000
 
 
+def test_frequent_shingles_come_last_whatever_their_hash(spark, monkeypatch):
+    import pyarrow as pa
+    orders, init = [], shingle_join.GlobalOrder.__init__
+    monkeypatch.setattr(shingle_join.GlobalOrder, "__init__", lambda self, *a: orders.append(self) or init(self, *a))
+    passage = " ".join(f"p{k}" for k in range(120))
+    texts = [(i, passage + " " + " ".join(f"o{i}x{k}" for k in range(60))) for i in range(20)]
+    assert len({r.component_id for r in
+                shingle_join.join(spark.createDataFrame(texts, "doc_id long, text string")).collect()}) == 20
+    shared, *whole = shingle_sets(pa.array([passage, *(t for _, t in texts)]))
+    assert (orders[0].of(shared) == 4).all()                  # 16 to 31 texts hold them
+    for h in whole:
+        first, cls = orders[0].prefix(h, len(h) - shingle_join.needed(len(h), 75) + 1)
+        assert not cls.any() and not np.isin(first, shared).any()
+
+
 def test_sketches_refuse_no_true_pair():
     rng = np.random.default_rng(8)
     for _ in range(300):
