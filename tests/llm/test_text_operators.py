@@ -378,3 +378,36 @@ def test_empty_tables(spark):
     assert mixing.materialise(mixing.assign(e)).collect() == []
     folder = scratch_path(spark, "records-empty")
     assert records.read_records(spark, records.write_records(e, BYTE, folder), folder).collect() == []
+
+
+def test_distinct_parts_are_encoded_together(spark):
+    """The library gets many parts in one text, and ids are its own."""
+    import random
+
+    import pyarrow as pa
+    import public_tokenizers
+    from tessera.llm.common import ItemTokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(path)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(1 << 40):x}" + rng.choice(["", "", ".", ",", ".\nNext", "é.", "中,"])
+                      for _ in range(40)) for _ in range(100)]
+    texts += [None, "", "one", "a\n\nb c", "x\ny. z\n", "two  spaces", "'s 's.", ".\n. ,", "<|endoftext|> a", "é\u0301. \x85a"]
+
+    class Counted:
+        def __init__(self, tok):
+            self.tok, self.texts = tok, 0
+
+        def encode_batch_fast(self, texts, **more):
+            self.texts += len(texts)
+            return self.tok.encode_batch_fast(texts, **more)
+
+    for size in (1000, 80 << 20):
+        tok = ItemTokenizer(path, size)
+        tok.tok = Counted(tok.tok)
+        for _ in range(2):
+            ids, off = tok.encode(pa.array(texts))
+            for k, t in enumerate(texts):
+                assert list(ids[off[k]:off[k + 1]]) == lib.encode(t or "", add_special_tokens=False).ids
+        assert tok.tok.texts < 100                         # of some 4,000 distinct words
